@@ -38,7 +38,7 @@ def score_sql(rows: str) -> dict[str, str]:
           AVG(x) AS mean,STDDEV_SAMP(x) AS sd,MIN(ABS(x-y)) AS nearest,
           quantile_cont(x,0.5) AS median,quantile_cont(x,0.975) AS q975,quantile_cont(x,0.025) AS q025,
           quantile_cont(x,0.95) AS q95,quantile_cont(x,0.05) AS q05,
-          quantile_cont(x,0.75)-quantile_cont(x,0.25) AS iqr FROM ranked GROUP BY ALL""",
+          quantile_cont(x,0.75)-quantile_cont(x,0.25) AS iqr FROM ranked GROUP BY {_G},y,m""",
         "width": f"""SELECT *,CASE WHEN LEAST(sd,iqr/1.34e0)>0 THEN 1.06e0*LEAST(sd,iqr/1.34e0)
           *POW(CAST(m AS DOUBLE),-0.2e0) END AS h FROM summary""",
         "kernel": f"""SELECT {",".join("r." + g for g in GROUP)},r.y,
