@@ -83,8 +83,8 @@ BODY_SQL = {
 # Digits kept when comparing.
 DIGITS = {
     "Ws": 5,
-    "M1": 8,
-    "M2": 8,
+    "M1": 6,
+    "M2": 6,
     "eta": 5,
     "m_ratio": 5,
     "z_therm": 6,
@@ -164,16 +164,17 @@ def density(spark, d):
 )
 def profile_resample(spark, d):
     profiles = gather_profiles(forecasts(spark, d), KEYS)
-    rows = resample_profiles(profiles, HYPSOGRAPHY).select(
-        *KEYS, F.posexplode(F.arrays_zip("temperature", "area")).alias("i", "p")
-    )
-    t, a = F.col("p.temperature"), F.col("p.area")
-    return rows.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("n_points"),
-        F.round(F.sum(t), 6).alias("sum_temperature"),
-        F.round(F.min(t), 6).alias("coldest"),
-        F.round(F.sum(a), 4).alias("sum_area"),
-        F.round(F.sum(F.col("i") * t), 5).alias("depth_sum"),
+    t = F.col("temperature")
+    return (
+        resample_profiles(profiles, HYPSOGRAPHY)
+        .groupBy(*KEYS)
+        .agg(
+            F.count(F.lit(1)).alias("n_points"),
+            F.round(F.sum(t), 6).alias("sum_temperature"),
+            F.round(F.min(t), 6).alias("coldest"),
+            F.round(F.sum("area"), 4).alias("sum_area"),
+            F.round(F.sum(F.col("i") * t), 5).alias("depth_sum"),
+        )
     )
 
 

@@ -1,8 +1,4 @@
-"""Water physics over one depth profile held as an array in a row.
-
-A profile is an array of (depth, temperature) points, resampled to an even grid
-``z[i] = i * dz``. Grid-sized arrays stay in the row, so nothing here shuffles.
-"""
+"""Water physics on an even depth grid ``z = i * dz``, as column expressions."""
 
 from __future__ import annotations
 
@@ -52,210 +48,99 @@ def grid_areas(hypsography: Hypsography, dz: float) -> list[float]:
     return areas
 
 
-def area_array(areas: Sequence[float], steps: Column) -> Column:
-    """Area per grid point; a profile deeper than the lake keeps the last area."""
-    known = F.array(*[F.lit(float(a)) for a in areas])
-    short = len(areas) - 1
-    return F.when(steps <= short, known).otherwise(
-        F.concat(known, F.array_repeat(F.lit(float(areas[-1])), steps - F.lit(short)))
-    )
-
-
-def resample(points: Column, steps: Column, dz: float) -> Column:
-    """Temperature on the grid: linear between points, flat beyond both ends.
+def grid_area(areas: Sequence[float], i: Column) -> Column:
+    """Area at grid point ``i``; below the deepest known point the last area holds."""
+    return F.get(F.array(*[F.lit(float(a)) for a in areas]), F.least(i, F.lit(len(areas) - 1)))
 
-    ``points`` is an array of structs (depth, temperature) in depth order. Each
-    segment between neighbours fills the grid points it covers, so the work is one
-    evaluation per grid point and no search.
-    """
-
-    def first_index(depth: Column) -> Column:
-        """First grid point at or below a depth."""
-        index = F.ceil(depth / F.lit(dz) - F.lit(1e-10)).cast("int")
-        return F.greatest(F.lit(0), F.least(index, steps + F.lit(1)))
-
-    def indices(start: Column, end: Column) -> Column:
-        return F.when(end > start, F.sequence(start, end - F.lit(1))).otherwise(
-            F.array().cast("array<int>")
-        )
 
-    head = F.get(points, F.lit(0))
-    tail = F.get(points, F.size(points) - 1)
-    above = F.array_repeat(head["temperature"], first_index(head["depth"]))
-    inner = F.flatten(
-        F.zip_with(
-            F.slice(points, F.lit(1), F.size(points) - 1),
-            F.slice(points, F.lit(2), F.size(points) - 1),
-            lambda p, q: F.transform(
-                indices(first_index(p["depth"]), first_index(q["depth"])),
-                lambda i: p["temperature"]
-                + (q["temperature"] - p["temperature"])
-                * (i * F.lit(dz) - p["depth"])
-                / (q["depth"] - p["depth"]),
-            ),
-        )
-    )
-    below = F.array_repeat(tail["temperature"], steps + F.lit(1) - first_index(tail["depth"]))
-    return F.concat(above, inner, below)
+def first_index(depth: Column, steps: Column, dz: float) -> Column:
+    """First grid point at or below a depth, one past the grid when there is none."""
+    index = F.ceil(depth / F.lit(dz) - F.lit(1e-10)).cast("int")
+    return F.greatest(F.lit(0), F.least(index, steps + F.lit(1)))
 
 
-def _at(array: Column, i: Column) -> Column:
-    return F.get(array, i)
+def between(p: Column, q: Column, z: Column) -> Column:
+    """Temperature at depth ``z`` on the line from point p to point q, flat without q."""
+    run = (q["temperature"] - p["temperature"]) * (z - p["depth"]) / (q["depth"] - p["depth"])
+    return F.when(q.isNull() | (z <= p["depth"]), p["temperature"]).otherwise(p["temperature"] + run)
 
 
-def integrals(rho: Column, area: Column, steps: Column, dz: float, integral: str = "area") -> Column:
-    """Struct (volume, volume_z, mass, mass_z) by the trapezoid rule.
+def slice_width(i: Column, steps: Column, dz: float, integral: str = "area") -> Column:
+    """Weight of grid point ``i`` in an integral by the trapezoid rule.
 
-    ``integral="area"`` sums depth over area slices, ``-sum(dA * mean z)``, which is
-    the depth integral less ``z * A`` at the bottom; ``"depth"`` is the plain depth
-    integral of area.
+    ``"depth"`` integrates over depth. ``"area"`` integrates depth over the change of
+    the integrand, ``-sum(dx * mean z)``, which is the depth integral less the bottom
+    depth times the integrand there.
     """
-    zero = F.struct(
-        F.lit(0.0).alias("volume"),
-        F.lit(0.0).alias("volume_z"),
-        F.lit(0.0).alias("mass"),
-        F.lit(0.0).alias("mass_z"),
-    )
+    if integral not in ("area", "depth"):
+        raise ValueError(f"unknown integral {integral}")
+    half = F.lit(dz / 2.0)
+    bottom = half if integral == "depth" else half - steps * F.lit(dz)
+    return F.when(i == 0, half).when(i == steps, bottom).otherwise(F.lit(dz))
 
-    def slices(acc: Column, i: Column) -> Column:
-        z0, z1 = (i - F.lit(1)) * F.lit(dz), i * F.lit(dz)
-        a0, a1 = _at(area, i - F.lit(1)), _at(area, i)
-        r0, r1 = _at(rho, i - F.lit(1)), _at(rho, i)
-        if integral == "area":
-            half = (z0 + z1) / F.lit(2.0)
-            parts = [
-                (a0 - a1) * half,
-                (z0 * a0 - z1 * a1) * half,
-                (r0 * a0 - r1 * a1) * half,
-                (z0 * r0 * a0 - z1 * r1 * a1) * half,
-            ]
-        else:
-            half = (z1 - z0) / F.lit(2.0)
-            parts = [
-                (a0 + a1) * half,
-                (z0 * a0 + z1 * a1) * half,
-                (r0 * a0 + r1 * a1) * half,
-                (z0 * r0 * a0 + z1 * r1 * a1) * half,
-            ]
-        names = ["volume", "volume_z", "mass", "mass_z"]
-        return F.struct(*[(acc[n] + p).alias(n) for n, p in zip(names, parts)])
-
-    return F.aggregate(F.sequence(F.lit(1), steps), zero, slices)
 
-
-def moments(
-    rho: Column, area: Column, steps: Column, rho_mean: Column, z_volume: Column, dz: float
-) -> Column:
-    """Struct (m1, m2, var_rho, var_z): area-weighted moments about the means."""
-    zero = F.struct(
-        *[F.lit(0.0).alias(n) for n in ("weight", "m1", "m2", "var_rho", "var_z")]
-    )
-
-    def add(acc: Column, i: Column) -> Column:
-        a = _at(area, i)
-        r = _at(rho, i) - rho_mean
-        z = i * F.lit(dz) - z_volume
-        return F.struct(
-            (acc["weight"] + a).alias("weight"),
-            (acc["m1"] + a * r * z).alias("m1"),
-            (acc["m2"] + a * r * z * z).alias("m2"),
-            (acc["var_rho"] + a * r * r).alias("var_rho"),
-            (acc["var_z"] + a * z * z).alias("var_z"),
-        )
-
-    def finish(acc: Column) -> Column:
-        w = acc["weight"]
-        return F.struct(*[(acc[n] / w).alias(n) for n in ("m1", "m2", "var_rho", "var_z")])
-
-    return F.aggregate(F.sequence(F.lit(0), steps), zero, add, finish)
-
-
-def density_gradient(rho: Column, steps: Column, dz: float) -> Column:
-    """Density change per metre between neighbouring grid points."""
-    return F.transform(
-        F.sequence(F.lit(1), steps),
-        lambda i: (_at(rho, i) - _at(rho, i - F.lit(1)))
-        / (i * F.lit(dz) - (i - F.lit(1)) * F.lit(dz)),
-    )
+def density_gradient(rho: Column, rho_below: Column, i: Column, dz: float) -> Column:
+    """Density change per metre from grid point ``i`` to the next."""
+    return (rho_below - rho) / ((i + F.lit(1)) * F.lit(dz) - i * F.lit(dz))
 
 
 def buoyancy_frequency(rho: Column, gradient: Column, g: float = 9.81) -> Column:
-    """Squared buoyancy frequency of every layer, ``g / rho * d rho / d z``."""
-    return F.transform(gradient, lambda d, i: F.lit(g) / _at(rho, i) * d)
-
-
-def center_of_buoyancy(n2: Column, dz: float, clip_negative: bool = False) -> Column:
-    """Mean layer depth weighted by squared buoyancy frequency; null without gradient."""
-    layers = F.transform(n2, lambda x: F.greatest(x, F.lit(0.0))) if clip_negative else n2
-    zero = F.struct(F.lit(0.5).alias("mid"), F.lit(0.0).alias("weight"), F.lit(0.0).alias("moment"))
-    return F.aggregate(
-        layers,
-        zero,
-        lambda acc, x: F.struct(
-            (acc["mid"] + F.lit(1.0)).alias("mid"),
-            (acc["weight"] + x).alias("weight"),
-            (acc["moment"] + x * (acc["mid"] * F.lit(dz))).alias("moment"),
-        ),
-        lambda acc: F.when(F.abs(acc["weight"]) > 1e-12, acc["moment"] / acc["weight"]),
-    )
+    """Squared buoyancy frequency of a layer."""
+    return F.lit(g) / rho * gradient
 
 
-def _weighted_depth(gradient: Column, at: Column, dz: float) -> Column:
-    """Depth of the steepest layer, pulled towards its steeper neighbour.
+def layer_depth(up: Column, here: Column, down: Column, i: Column, dz: float) -> Column:
+    """Depth within layer ``i``, pulled from its middle towards the steeper neighbour.
 
-    ``at`` is the 0-based layer. A layer at either end, or one level with a
-    neighbour, gives the middle of the layer.
+    ``up`` and ``down`` are the gradients of the layers above and below. Without one of
+    them, or level with one, the middle of the layer is taken.
     """
-    here, up, down = _at(gradient, at), _at(gradient, at - F.lit(1)), _at(gradient, at + F.lit(1))
-    upper, lower = at * F.lit(dz), (at + F.lit(1)) * F.lit(dz)
-    upper_before = (at - F.lit(1)) * F.lit(dz)
-    middle = (upper + lower) / F.lit(2.0)
+    upper, lower = i * F.lit(dz), (i + F.lit(1)) * F.lit(dz)
+    upper_before = (i - F.lit(1)) * F.lit(dz)
     slope_down = -(lower - upper) / F.nullif(down - here, F.lit(0.0))
     slope_up = (upper - upper_before) / F.nullif(here - up, F.lit(0.0))
-    blended = lower * (slope_down / (slope_down + slope_up)) + upper * (
-        slope_up / (slope_down + slope_up)
+    total = F.nullif(slope_down + slope_up, F.lit(0.0))
+    return F.coalesce(
+        lower * (slope_down / total) + upper * (slope_up / total), (upper + lower) / F.lit(2.0)
     )
-    inside = (at > 0) & (at < F.size(gradient) - 1)
-    return F.coalesce(F.when(inside, blended), middle)
 
 
 def thermocline_depth(
-    temperature: Column,
-    gradient: Column,
-    dz: float,
+    temperature_range: Column,
+    peaks: Column,
+    layers: Column,
     min_gradient: float = 0.1,
     peak_share: float = 0.15,
     mixed_range: float = 1.0,
 ) -> Column:
     """Depth of the seasonal thermocline, null for a mixed profile.
 
-    The steepest density gradient marks a thermocline; the deepest local peak that
-    passes ``max(peak_share * steepest, min_gradient)`` replaces it when it lies
-    more than one layer below.
+    ``peaks`` is the array of layers that stand out from their neighbours, as structs of
+    ``i``, ``g`` and ``depth``. The steepest of them (the shallowest, if equal) marks a
+    thermocline; the deepest inner one steeper than
+    ``max(peak_share * steepest, min_gradient)`` replaces it when it lies more than one
+    layer below.
     """
+    inner = lambda x: (x["i"] > 0) & (x["i"] < layers - 1)
 
     def choose(steepest: Column) -> Column:
-        top = (F.array_position(gradient, steepest) - F.lit(1)).cast("int")
-        cut = F.greatest(F.lit(peak_share) * steepest, F.lit(min_gradient))
-
-        def seasonal(t: Column) -> Column:
-            peaks = F.filter(
-                F.sequence(F.lit(1), F.size(gradient) - 2),
-                lambda i: (_at(gradient, i) > _at(gradient, i - F.lit(1)))
-                & (_at(gradient, i) >= _at(gradient, i + F.lit(1)))
-                & (_at(gradient, i) > cut),
-            )
-            shallow = _weighted_depth(gradient, t, dz)
-            return let(
-                F.array_max(peaks),
-                lambda p: F.when(
-                    p > t + F.lit(1), F.greatest(_weighted_depth(gradient, p, dz), shallow)
-                ).otherwise(shallow),
-            )
-
-        return let(top, seasonal)
-
-    stratified = (
-        F.array_max(temperature) - F.array_min(temperature) >= F.lit(mixed_range)
-    ) & (F.size(gradient) >= 3)
-    return F.when(stratified, let(F.array_max(gradient), choose))
+        cut = F.greatest(F.lit(peak_share) * steepest["g"], F.lit(min_gradient))
+        deepest = F.array_max(F.filter(peaks, lambda x: inner(x) & (x["g"] > cut)))
+        return let(
+            deepest,
+            lambda p: F.when(
+                p["i"] > steepest["i"] + F.lit(1), F.greatest(p["depth"], steepest["depth"])
+            ).otherwise(steepest["depth"]),
+        )
+
+    by_gradient = F.array_max(
+        F.transform(
+            peaks,
+            lambda x: F.struct(
+                x["g"].alias("g"), (-x["i"]).alias("order"), x["i"].alias("i"), x["depth"].alias("depth")
+            ),
+        )
+    )
+    return F.when(
+        (temperature_range >= F.lit(mixed_range)) & (layers >= 3), let(by_gradient, choose)
+    )

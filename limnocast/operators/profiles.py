@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from limnocast.functions import water as P
@@ -20,6 +20,7 @@ PROFILE_KEY = [
     "pub_datetime",
 ]
 METRICS = ["Ws", "M1", "M2", "eta", "m_ratio", "z_therm", "z_n2", "n2_max", "b_var"]
+# Below this a spread of density counts as none, and ratios to it are null.
 FLAT = 1e-9
 
 
@@ -40,42 +41,181 @@ def gather_profiles(forecasts: DataFrame, keys: Sequence[str] | None = None) ->
         .agg(F.avg("prediction").alias("temperature"))
     )
     return points.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("depth", "temperature"))).alias("points")
+        F.sort_array(F.collect_list(F.struct("depth", "temperature"))).alias("points")
     )
 
 
 def resample_profiles(profiles: DataFrame, hypsography: P.Hypsography, dz: float = 0.1) -> DataFrame:
-    """Add ``steps``, and ``temperature``, ``area`` and ``rho`` on the even depth grid."""
+    """One row per profile and grid point ``z = i * dz``: temperature, density, lake area.
+
+    Temperature is linear between points and flat beyond both ends. ``rho_at`` also holds
+    the densities one point up and one and two points down, so that layers need no window.
+    Every point explodes to the grid points up to the next one: generated rows
+    stay in compiled code and in the partition of their profile.
+    """
+    keys = [c for c in profiles.columns if c != "points"]
     deepest = max(float(d) for d, _ in hypsography)
-    last = F.get("points", F.size("points") - 1)["depth"]
     areas = P.grid_areas(hypsography, dz)
-    return (
-        profiles.withColumn("steps", P.grid_steps(F.greatest(last, F.lit(deepest)), dz))
-        .withColumns(
-            {
-                "temperature": P.resample(F.col("points"), F.col("steps"), dz),
-                "area": P.area_array(areas, F.col("steps")),
-            }
+    last = F.get("points", F.size("points") - 1)["depth"]
+    points = profiles.select(
+        *keys,
+        P.grid_steps(F.greatest(last, F.lit(deepest)), dz).alias("steps"),
+        "points",
+        F.posexplode("points").alias("k", "p"),
+    )
+    i, k, p, steps = F.col("i"), F.col("k"), F.col("p"), F.col("steps")
+    o, q, r = F.get("points", k - 1), F.get("points", k + 1), F.get("points", k + 2)
+
+    def index(point: Column) -> Column:
+        return P.first_index(point["depth"], steps, dz)
+
+    start = F.when(k == 0, F.lit(0)).otherwise(index(p))
+    end = F.when(q.isNull(), steps + 1).otherwise(index(q))
+    grid = points.select(
+        *keys,
+        "steps",
+        "points",
+        "k",
+        "p",
+        start.alias("start"),
+        end.alias("end"),
+        F.explode(F.when(end > start, F.sequence(start, end - 1))).alias("i"),
+    )
+
+    def temperature_at(offset: int) -> Column:
+        """Temperature at a neighbouring grid point, which mostly lies in this or the next gap."""
+        j = i + offset
+        z = j * F.lit(dz)
+        # Only where several points lie between two grid points is there anything to search.
+        above = F.filter("points", lambda x: index(x) <= j)
+        searched = let(
+            F.greatest(F.size(above), F.lit(1)),
+            lambda n: P.between(F.get("points", n - 1), F.get("points", n), z),
         )
-        .withColumn("rho", F.transform("temperature", P.water_density))
+        return (
+            F.when((j < 0) | (j > steps), F.lit(None).cast("double"))
+            .when((j >= F.col("start")) & (j < F.col("end")), P.between(p, q, z))
+            .when((j >= F.col("end")) & (r.isNull() | (j < index(r))), P.between(q, r, z))
+            .when((j < F.col("start")) & ((k == 1) | (j >= index(o))), P.between(o, p, z))
+            .otherwise(searched)
+        )
+
+    def rho_at(offset: int) -> Column:
+        return P.water_density(F.col(f"t{offset}"))
+
+    return grid.select(
+        *keys,
+        "steps",
+        "i",
+        (i * F.lit(dz)).alias("z"),
+        P.grid_area(areas, i).alias("area"),
+        F.get("points", F.lit(0))["temperature"].alias("surface"),
+        *[temperature_at(n).alias(f"t{n}") for n in (-1, 0, 1, 2)],
+    ).select(
+        *keys,
+        "steps",
+        "i",
+        "z",
+        "area",
+        P.water_density(F.col("surface")).alias("surface_rho"),
+        F.col("t0").alias("temperature"),
+        rho_at(0).alias("rho"),
+        rho_at(-1).alias("rho_above"),
+        rho_at(1).alias("rho_below"),
+        rho_at(2).alias("rho_second"),
+    )
+
+
+def _layers(resampled: DataFrame, dz: float) -> DataFrame:
+    """Add the layer below each grid point: gradient, buoyancy, and whether it stands out.
+
+    A layer stands out when it is steeper than the one above and no less steep than the
+    one below, or is the first or last: a handful per profile, the steepest among them.
+    """
+    c, i = F.col, F.col("i")
+    up = P.density_gradient(c("rho_above"), c("rho"), i - 1, dz)
+    here = P.density_gradient(c("rho"), c("rho_below"), i, dz)
+    down = P.density_gradient(c("rho_below"), c("rho_second"), i + 1, dz)
+    stands_out = (F.coalesce(c("here") > c("up"), F.lit(True))) & (
+        F.coalesce(c("here") >= c("down"), F.lit(True))
+    )
+    layer = F.struct(
+        i.alias("i"),
+        c("here").alias("g"),
+        P.layer_depth(c("up"), c("here"), c("down"), i, dz).alias("depth"),
     )
+    return (
+        resampled.withColumns({"up": up, "here": here, "down": down})
+        .withColumns({"layer": layer, "n2": P.buoyancy_frequency(c("rho"), c("here"))})
+        .withColumn("peak", F.when(c("here").isNotNull() & stands_out, c("layer")))
+        .drop("up", "down", "rho_above", "rho_second")
+    )
+
+
+GRID_COLUMNS = [
+    "steps",
+    "i",
+    "z",
+    "area",
+    "surface_rho",
+    "temperature",
+    "rho",
+    "rho_above",
+    "rho_below",
+    "rho_second",
+]
+
 
+def profile_integrals(
+    resampled: DataFrame, dz: float = 0.1, integral: str = "area", clip_negative: bool = False
+) -> DataFrame:
+    """One row per profile: integrals over the lake, moments, and the layers.
 
-def profile_integrals(resampled: DataFrame, dz: float = 0.1, integral: str = "area") -> DataFrame:
-    """Add volume, mass, centres of volume and gravity, mean density and mean depth."""
-    raw = P.integrals(F.col("rho"), F.col("area"), F.col("steps"), dz, integral)
-    derived = let(
-        raw,
-        lambda s: F.struct(
-            s["volume"].alias("volume"),
-            (s["volume_z"] / s["volume"]).alias("z_volume"),
-            s["mass"].alias("mass"),
-            (s["mass_z"] / s["mass"]).alias("z_gravity"),
-            (s["mass"] / s["volume"]).alias("rho_mean"),
-            (s["volume"] / F.array_max("area")).alias("z_mean"),
-        ),
+    Everything is a sum or maximum over grid points, so rows are combined as they are
+    generated. Densities are taken relative to the surface, which keeps small
+    differences exact.
+    """
+    keys = [c for c in resampled.columns if c not in GRID_COLUMNS]
+    c = F.col
+    z, a, n2 = c("z"), c("area"), c("n2")
+    x = c("rho") - c("surface_rho")
+    w = P.slice_width(c("i"), c("steps"), dz, integral)
+    middle = (c("i") + F.lit(0.5)) * F.lit(dz)
+    if clip_negative:
+        n2 = F.greatest(n2, F.lit(0.0))
+    sums = _layers(resampled, dz).groupBy(*keys).agg(
+        F.max("surface_rho").alias("surface_rho"),
+        F.max("steps").alias("steps"),
+        F.max("temperature").alias("warmest"),
+        F.min("temperature").alias("coldest"),
+        F.max(a).alias("top_area"),
+        F.sum(w * a).alias("volume"),
+        F.sum(w * a * z).alias("volume_z"),
+        F.sum(w * a * x).alias("excess"),
+        F.sum(w * a * z * x).alias("excess_z"),
+        F.sum(a).alias("weight"),
+        F.sum(a * z).alias("a_z"),
+        F.sum(a * z * z).alias("a_zz"),
+        F.sum(a * x).alias("a_x"),
+        F.sum(a * z * x).alias("a_zx"),
+        F.sum(a * z * z * x).alias("a_zzx"),
+        F.sum(a * x * x).alias("a_xx"),
+        F.max("n2").alias("n2_max"),
+        F.sum(n2).alias("n2_sum"),
+        F.sum(n2 * middle).alias("n2_moment"),
+        F.collect_list("peak").alias("peaks"),
+    )
+    mass = c("volume") * c("surface_rho") + c("excess")
+    z_volume = c("volume_z") / c("volume")
+    return sums.withColumns(
+        {
+            "mass": mass,
+            "z_volume": z_volume,
+            "z_gravity": z_volume + (c("excess_z") - z_volume * c("excess")) / mass,
+            "rho_mean": c("surface_rho") + c("excess") / c("volume"),
+            "z_mean": c("volume") / c("top_area"),
+        }
     )
-    return resampled.withColumn("body", derived).select(*resampled.columns, "body.*")
 
 
 def profile_metrics(
@@ -90,32 +230,39 @@ def profile_metrics(
     """Nine physical diagnostics of each temperature profile, one row per profile."""
     keys = list(keys or existing(forecasts, PROFILE_KEY))
     resampled = resample_profiles(gather_profiles(forecasts, keys), hypsography, dz)
-    body = profile_integrals(resampled, dz, integral)
     c = F.col
-    shaped = body.withColumns(
+    # Moments about the means, expanded so that one pass over the grid gives the sums.
+    v, r, w = c("z_volume"), c("excess") / c("volume"), c("weight")
+    m1 = (c("a_zx") - v * c("a_x") - r * (c("a_z") - v * w)) / w
+    m2 = (
+        c("a_zzx")
+        - v * c("a_zx") * 2
+        + v * v * c("a_x")
+        - r * (c("a_zz") - v * c("a_z") * 2 + v * v * w)
+    ) / w
+    var_rho = (c("a_xx") - r * c("a_x") * 2 + r * r * w) / w
+    var_z = (c("a_zz") - v * c("a_z") * 2 + v * v * w) / w
+    sums = profile_integrals(resampled, dz, integral, clip_negative).withColumns(
         {
-            "gradient": P.density_gradient(c("rho"), c("steps"), dz),
-            "moments": let(
-                F.struct("rho_mean", "z_volume"),
-                lambda s: P.moments(
-                    c("rho"), c("area"), c("steps"), s["rho_mean"], s["z_volume"], dz
-                ),
-            ),
+            "M1": m1,
+            "M2": m2,
+            "var_rho": F.greatest(var_rho, F.lit(0.0)),
+            "scale": F.sqrt(F.greatest(var_rho, F.lit(0.0))) * F.sqrt(var_z),
         }
-    ).withColumn("n2", P.buoyancy_frequency(c("rho"), c("gradient")))
-    m = c("moments")
-    scale = F.sqrt(m["var_rho"]) * F.sqrt(m["var_z"])
-    return shaped.select(
+    )
+    return sums.select(
         *keys,
         (F.lit(g) * c("z_mean") * c("rho_mean") * (c("z_gravity") - c("z_volume"))).alias("Ws"),
-        m["m1"].alias("M1"),
-        m["m2"].alias("M2"),
-        F.when(scale > FLAT, m["m1"] / scale).alias("eta"),
-        F.when(F.abs(m["m1"]) > FLAT, m["m2"] / m["m1"]).alias("m_ratio"),
-        P.thermocline_depth(c("temperature"), c("gradient"), dz).alias("z_therm"),
-        P.center_of_buoyancy(c("n2"), dz, clip_negative).alias("z_n2"),
-        F.array_max("n2").alias("n2_max"),
-        (m["var_rho"] * F.lit(9.81 * 9.81) / (c("rho_mean") * c("rho_mean"))).alias("b_var"),
+        "M1",
+        "M2",
+        F.when(c("scale") > FLAT, c("M1") / c("scale")).alias("eta"),
+        F.when(F.abs(c("M1")) > FLAT, c("M2") / c("M1")).alias("m_ratio"),
+        P.thermocline_depth(
+            c("warmest") - c("coldest"), c("peaks"), c("steps")
+        ).alias("z_therm"),
+        F.when(F.abs(c("n2_sum")) > 1e-12, c("n2_moment") / c("n2_sum")).alias("z_n2"),
+        "n2_max",
+        (c("var_rho") * F.lit(9.81 * 9.81) / (c("rho_mean") * c("rho_mean"))).alias("b_var"),
     )
 
 

@@ -172,7 +172,7 @@ def score_in_rows(joined: DataFrame, summaries: bool = True) -> DataFrame:
     """Score ensembles that fit in a row: one aggregate, then array expressions."""
     groups, keys = _group_keys(joined)
     members = joined.groupBy(*keys).agg(
-        F.array_sort(F.collect_list("prediction")).alias("xs"),
+        F.sort_array(F.collect_list("prediction")).alias("xs"),
         F.avg("prediction").alias("mean"),
         F.stddev_samp("prediction").alias("sd"),
     )

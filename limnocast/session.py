@@ -12,6 +12,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Rows here are small but costly (they explode to grids), so merge partitions less.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     # Split a hot join partition even when the aggregate above then needs its own shuffle.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
