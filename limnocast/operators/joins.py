@@ -64,16 +64,19 @@ def restrict_to(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFr
 def keep_latest(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Union in which an incoming row replaces the stored row of the same key.
 
-    Taking the largest (source, values) per key is a partial aggregate, so a key
-    with many copies shrinks before it is shuffled.
+    The winner per key is a partial aggregate, so a key with many copies shrinks before it
+    is shuffled. Of copies from one side the largest is kept.
     """
     values = [c for c in existing.columns if c not in keys]
-    tagged = existing.withColumn("_source", F.lit(0)).unionByName(
-        incoming.withColumn("_source", F.lit(1))
+    tagged = existing.withColumn("_new", F.lit(False)).unionByName(
+        incoming.withColumn("_new", F.lit(True))
     )
-    winner = F.max(F.struct("_source", *values)).alias("_winner")
-    return (
-        tagged.groupBy(*keys)
-        .agg(winner)
-        .select(*[F.col(c) if c in keys else F.col(f"_winner.{c}").alias(c) for c in existing.columns])
+    packed = F.col(values[0]) if len(values) == 1 else F.struct(*values)
+    merged = tagged.groupBy(*keys).agg(
+        F.max("_new").alias("_has_new"),
+        F.max(F.when(F.col("_new"), packed)).alias("_incoming"),
+        F.max(F.when(~F.col("_new"), packed)).alias("_stored"),
     )
+    winner = F.when(F.col("_has_new"), F.col("_incoming")).otherwise(F.col("_stored"))
+    picked = {values[0]: winner} if len(values) == 1 else {v: winner[v] for v in values}
+    return merged.select(*[picked.get(c, F.col(c)).alias(c) for c in existing.columns])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from limnocast.functions.keys import DAY, HOUR, epoch, time_like
 from limnocast.schemas import FLUX_VARIABLES, STATE_VARIABLES
+from limnocast.session import checkpointed
 
 SERIES = ["site_id", "family", "parameter", "variable"]
 MEMBER = ["site_id", "family", "parameter"]
@@ -27,24 +28,34 @@ def _merge(scope: Sequence[str], keys: Sequence[str]) -> list[str]:
 
 
 def _samples(met: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per series and time in seconds; of copies the larger value stays."""
-    return (
-        met.select(*keys, epoch(F.col("datetime")).alias("t"), "prediction")
-        .groupBy(*keys, "t")
-        .agg(F.max("prediction").alias("prediction"))
-        .withColumns(
-            {
-                "phase": F.pmod("t", F.lit(HOUR)),
-                "block": F.floor(F.col("t") / F.lit(BLOCK_SECONDS)),
-            }
-        )
+    """Series rows with time in seconds, place within the hour, and block of time."""
+    return met.select(*keys, epoch(F.col("datetime")).alias("t"), "prediction").withColumns(
+        {
+            "phase": F.pmod("t", F.lit(HOUR)),
+            "block": F.floor(F.col("t") / F.lit(BLOCK_SECONDS)),
+        }
     )
 
 
-def _blocks(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
-    known = F.when(F.col("prediction").isNotNull(), F.struct("t", "prediction"))
-    return samples.groupBy(*keys, "phase", "block").agg(
-        F.min("t").alias("t_min"), F.max("t").alias("t_max"), F.min(known).alias("first_known")
+def summarise(met: DataFrame, scope: Sequence[str] = ("site_id",)) -> DataFrame:
+    """One row per series and block of time: its ends, first known sample and row count.
+
+    Scalar aggregates in one pass, combined before the shuffle. The summary is about a
+    seven-hundredth of an hourly archive and every step of the gridding needs it, so it
+    is written out once.
+    """
+    keys = _merge(scope, SERIES)
+    known_t = F.when(F.col("prediction").isNotNull(), F.col("t"))
+    return checkpointed(
+        _samples(met, keys)
+        .groupBy(*keys, "phase", "block")
+        .agg(
+            F.min("t").alias("t_min"),
+            F.max("t").alias("t_max"),
+            F.min(known_t).alias("first_t"),
+            F.min_by("prediction", known_t).alias("first_value"),
+            F.count(F.lit(1)).alias("n_rows"),
+        )
     )
 
 
@@ -68,7 +79,7 @@ def _spans(blocks: DataFrame, scope: Sequence[str], variables: Sequence[str]) ->
 def hourly_spans(met: DataFrame, scope: Sequence[str] = ("site_id",)) -> DataFrame:
     """First hour, last hour and number of hours of each series of the dense grid."""
     keys = _merge(scope, SERIES)
-    spans = _spans(_blocks(_samples(met, keys), keys), scope, list(FILLS))
+    spans = _spans(summarise(met, scope), scope, list(FILLS))
     hours = F.floor((F.col("end") - F.col("start")) / HOUR)
     return spans.select(
         *keys,
@@ -81,7 +92,7 @@ def hourly_spans(met: DataFrame, scope: Sequence[str] = ("site_id",)) -> DataFra
 def hourly_grid(met: DataFrame, scope: Sequence[str] = ("site_id",)) -> DataFrame:
     """Dense grid: each member and variable at every hour up to the member's last time."""
     keys = _merge(scope, SERIES)
-    spans = _spans(_blocks(_samples(met, keys), keys), scope, list(FILLS))
+    spans = _spans(summarise(met, scope), scope, list(FILLS))
     hours = F.explode(F.sequence(F.col("start"), F.col("end"), F.lit(HOUR).cast("bigint")))
     return spans.select(*keys, hours.alias("t")).select(
         *keys, time_like(F.col("t"), met, "datetime").alias("datetime")
@@ -92,22 +103,39 @@ def densify(
     met: DataFrame,
     fills: Mapping[str, str] = FILLS,
     scope: Sequence[str] = ("site_id",),
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """The dense hourly grid with samples in place and gaps filled.
 
     ``fills`` says per variable how: ``linear`` between samples and flat beyond them,
     ``backfill`` with the next sample, or ``none``. Samples that are not a whole number
-    of hours after the start of the grid have no grid row and are left out.
+    of hours after the start of the grid have no grid row and are left out. A series
+    holds one value per time; of copies that differ the largest is taken. ``summary``
+    is the result of ``summarise`` when the caller already has it.
     """
     keys = _merge(scope, SERIES)
-    samples = _samples(met, keys)
-    blocks = _blocks(samples, keys)
+    blocks = summarise(met, scope) if summary is None else summary
     spans = _spans(blocks, scope, list(fills))
+    samples = _samples(met, keys).where(
+        F.col("prediction").isNotNull() & F.col("variable").isin(*fills)
+    )
+    if not blocks.where(F.col("n_rows") > BLOCK_SECONDS // HOUR).isEmpty():
+        # More rows in a block than it has hours: collapse the copies before they travel.
+        samples = samples.groupBy(*keys, "t", "phase", "block").agg(
+            F.max("prediction").alias("prediction")
+        )
 
     by_series = Window.partitionBy(*keys).orderBy("block")
     known = (
-        blocks.where(F.col("first_known").isNotNull())
-        .select(*keys, "phase", "block", "first_known")
+        blocks.where(F.col("first_t").isNotNull() & F.col("variable").isin(*fills))
+        .select(
+            *keys,
+            "phase",
+            "block",
+            F.struct(F.col("first_t").alias("t"), F.col("first_value").alias("prediction")).alias(
+                "first_known"
+            ),
+        )
         .join(spans, keys)
         .where(F.col("phase") == F.pmod("start", F.lit(HOUR)))
         .withColumns(
@@ -136,10 +164,9 @@ def densify(
     )
 
     # Every sample covers the hours up to the next one.
-    in_block = Window.partitionBy(*keys, "phase", "block").orderBy("t")
+    in_block = Window.partitionBy(*keys, "phase", "block").orderBy("t", "prediction")
     body = (
-        samples.where(F.col("prediction").isNotNull() & F.col("variable").isin(*fills))
-        .join(known.select(*keys, "phase", "block", "next_known", "end"), [*keys, "phase", "block"])
+        samples.join(known.select(*keys, "phase", "block", "next_known", "end"), [*keys, "phase", "block"])
         .withColumn(
             "next", F.coalesce(F.lead(F.struct("t", "prediction")).over(in_block), F.col("next_known"))
         )
@@ -200,17 +227,19 @@ def fill_down_up(
 ) -> DataFrame:
     """Replace nulls by the last value before, else the first value after."""
     cut = _block_of(df, order)
-    known = F.when(F.col(value).isNotNull(), F.struct("_t", F.col(value).alias("v")))
-    blocks = cut.groupBy(*keys, "_block").agg(F.max(known).alias("_last"), F.min(known).alias("_first"))
+    known_t = F.when(F.col(value).isNotNull(), F.col("_t"))
+    blocks = cut.groupBy(*keys, "_block").agg(
+        F.max_by(value, known_t).alias("_last"), F.min_by(value, known_t).alias("_first")
+    )
     over = Window.partitionBy(*keys).orderBy("_block")
     carry = blocks.select(
         *keys,
         "_block",
         F.last("_last", ignorenulls=True)
-        .over(over.rowsBetween(Window.unboundedPreceding, -1))["v"]
+        .over(over.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_before"),
         F.first("_first", ignorenulls=True)
-        .over(over.rowsBetween(1, Window.unboundedFollowing))["v"]
+        .over(over.rowsBetween(1, Window.unboundedFollowing))
         .alias("_after"),
     )
     inside = Window.partitionBy(*keys, "_block").orderBy("_t")

@@ -26,6 +26,7 @@ from limnocast.operators.series import (
     fill_down_up,
     first_gap,
     missing_hours,
+    summarise,
 )
 from limnocast.schemas import (
     FLUX_VARIABLES,
@@ -55,12 +56,12 @@ def to_hourly(
     ``kelvin_shift`` is added to air temperature. ``scope`` names the columns that
     separate independent grids, one per issue date for instance.
     """
-    plain = densify(met, {v: k for v, k in FILLS.items() if v != SHORTWAVE}, scope)
-    shifted = plain.withColumn(
-        "prediction", shift_units(kelvin_shift)
+    summary = summarise(met, scope)
+    plain = densify(met, {v: k for v, k in FILLS.items() if v != SHORTWAVE}, scope, summary)
+    shortwave = densify(met, {SHORTWAVE: "backfill"}, scope, summary)
+    return plain.withColumn("prediction", shift_units(kelvin_shift)).unionByName(
+        downscale_shortwave(shortwave, lon, lat, step_hours, scope)
     )
-    shaped = downscale_shortwave(densify(met, {SHORTWAVE: "backfill"}, scope), lon, lat, step_hours, scope)
-    return shifted.unionByName(shaped)
 
 
 def shift_units(amount: float = KELVIN_SHIFT, variable: str = "air_temperature"):
