@@ -92,7 +92,9 @@ def hourly_sql(source: str, lon: float, lat: float, shift: float, scope: str = "
     }
 
 
-_ROW = f"{SERIES},datetime,ROUND(prediction,6) AS prediction"
+# Interpolated values are often exact ties at the last digit, where the engines' own
+# rounding differs, so both sides round by the same arithmetic.
+_ROW = f"{SERIES},datetime,FLOOR(prediction*1e6+5e-1)/1e6 AS prediction"
 
 
 def _rows(df, *first):
@@ -103,7 +105,7 @@ def _rows(df, *first):
         "parameter",
         "variable",
         "datetime",
-        F.round("prediction", 6).alias("prediction"),
+        (F.floor(F.col("prediction") * 1e6 + 0.5) / F.lit(1e6)).alias("prediction"),
     )
 
 
@@ -111,8 +113,11 @@ def _rows(df, *first):
     "unit_shift",
     with_tables(
         "met",
-        body=f"""SELECT {SERIES},datetime,ROUND(CASE WHEN variable='air_temperature' THEN prediction+273e0
-        ELSE prediction END,6) AS prediction FROM met""",
+        extra={
+            "shifted": """SELECT * EXCLUDE (prediction),CASE WHEN variable='air_temperature'
+              THEN prediction+273e0 ELSE prediction END AS prediction FROM met"""
+        },
+        body=f"SELECT {_ROW} FROM shifted",
     ),
 )
 def unit_shift(spark, d):
@@ -178,7 +183,7 @@ _FILL_SQL = f"""COALESCE(
 
 @query(
     "fill_down_up",
-    with_tables("met", body=f"SELECT {SERIES},datetime,ROUND({_FILL_SQL},6) AS prediction FROM met"),
+    with_tables("met", body=f"SELECT {SERIES},datetime,FLOOR({_FILL_SQL}*1e6+5e-1)/1e6 AS prediction FROM met"),
 )
 def filled(spark, d):
     return _rows(fill_down_up(met(spark, d)))
@@ -289,7 +294,7 @@ def self_lookup(spark, d):
               FROM met m LEFT JOIN met a ON a.site_id=m.site_id AND a.family=m.family
               AND a.parameter=m.parameter AND a.datetime=m.datetime AND a.variable='air_temperature'"""
         },
-        body=f"SELECT {SERIES},datetime,ROUND({_FILL_SQL},6) AS prediction FROM estimated",
+        body=f"SELECT {SERIES},datetime,FLOOR({_FILL_SQL}*1e6+5e-1)/1e6 AS prediction FROM estimated",
     ),
 )
 def flux_repair(spark, d):

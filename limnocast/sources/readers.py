@@ -94,13 +94,13 @@ def read_member_files(spark: SparkSession, folder: str, model: str) -> DataFrame
     out = T.StructType([*schema.fields, T.StructField("parameter", T.StringType())])
     pattern = f"{folder.rstrip('/')}/{prefix}*.csv"
     try:
-        header = spark.read.csv(pattern, header=True, inferSchema=False)
+        text = spark.read.csv(pattern, header=True, nullValue="NA")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], out)
         raise
-    return header.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+    return text.select(
+        *[F.nullif(F.col(f.name), F.lit("")).cast(f.dataType).alias(f.name) for f in schema.fields],
         strip(base_name(F.col("_metadata.file_path")), prefix, ".csv").alias("parameter"),
     )
 
