@@ -8,20 +8,22 @@ from pyspark.sql import functions as F
 from limnocast.functions.keys import DAY, epoch
 
 
-def nearest_value(grid: DataFrame, axis: str, wanted: float) -> Column:
-    """The coordinate of ``axis`` closest to ``wanted``; of two equally close, the larger.
+def nearest_cell(grid: DataFrame, lon: float, lat: float) -> DataFrame:
+    """Rows of the cell nearest to a point, each axis chosen on its own.
 
-    A minimum over the axis column, usable as a scalar in a filter.
+    Of two coordinates equally close the larger is taken. Both come from one pass over
+    the two axis columns, as a scalar inside the filter.
     """
-    distance = F.struct(F.abs(F.col(axis) - F.lit(wanted)), -F.col(axis))
-    return grid.agg(F.min_by(axis, distance)).scalar()
 
+    def closest(axis: str, wanted: float) -> Column:
+        distance = F.struct(F.abs(F.col(axis) - F.lit(wanted)), -F.col(axis))
+        return F.min_by(axis, distance).alias(axis)
 
-def nearest_cell(grid: DataFrame, lon: float, lat: float) -> DataFrame:
-    """Rows of the cell nearest to a point, each axis chosen on its own."""
+    cell = grid.agg(
+        F.struct(closest("latitude", lat), closest("longitude", lon)).alias("cell")
+    ).scalar()
     return grid.where(
-        (F.col("latitude") == nearest_value(grid, "latitude", lat))
-        & (F.col("longitude") == nearest_value(grid, "longitude", lon))
+        (F.col("latitude") == cell["latitude"]) & (F.col("longitude") == cell["longitude"])
     )
 
 

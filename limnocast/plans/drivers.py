@@ -37,6 +37,7 @@ from limnocast.schemas import (
     VARIABLE_NAMES,
     with_constants,
 )
+from limnocast.session import checkpointed
 from limnocast.sources.readers import read_member_files, read_met
 from limnocast.sources.writers import rewrite_partitions
 
@@ -178,7 +179,8 @@ def forecast_drivers(
     """Hourly member series of the full cycle issued nearest to each date.
 
     ``grid`` has init_time, ensemble_member, valid_time, latitude, longitude and a column
-    per variable.
+    per variable. The grid is read once: the cell's rows are written out and
+    everything after works on those.
     """
     cell = nearest_cell(grid, lon, lat).join(nearest_issues(grid, start, end), "init_time")
     kept = [v for v in VARIABLE_NAMES if v in grid.columns]
@@ -192,7 +194,8 @@ def forecast_drivers(
         VARIABLE_NAMES,
         site_id,
     )
-    return to_hourly(long, lon, lat, scope=("reference_datetime", "site_id"), **options)
+    scope = ("reference_datetime", "site_id")
+    return to_hourly(checkpointed(long), lon, lat, scope=scope, **options)
 
 
 def history_drivers(
@@ -207,14 +210,14 @@ def history_drivers(
 ) -> DataFrame:
     """Hourly analysis series from ``start`` to ``end``, the same for every member.
 
-    The series is made hourly once and copied to the members last.
+    The grid is read once, the series is made hourly once, and copied to the members last.
     """
     kept = [v for v in VARIABLE_NAMES if v in grid.columns]
     point = anchored_slice(nearest_cell(grid, lon, lat), "time", start, end)
     single = _grid_to_long(
         point.select(F.col("time").alias("datetime"), *kept), VARIABLE_NAMES, site_id
     ).withColumn("parameter", F.lit(0.0))
-    hourly = date_trim(to_hourly(single, lon, lat, **options), start, end)
+    hourly = date_trim(to_hourly(checkpointed(single), lon, lat, **options), start, end)
     return replicate_members(hourly, members).select(*SERIES, "datetime", "prediction")
 
 

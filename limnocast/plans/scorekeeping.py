@@ -12,6 +12,7 @@ from limnocast.operators.ranking import HOT_ROWS
 from limnocast.operators.reshape import archive_slice, scoreable
 from limnocast.operators.scoring import merge_scores, score_forecasts, still_valid, unscored
 from limnocast.schemas import SCORE_PARTITIONS, SCORE_SCHEMA, conform
+from limnocast.session import checkpointed
 from limnocast.sources.readers import read_forecasts, read_scores, read_targets
 from limnocast.sources.writers import rewrite_partitions
 
@@ -50,12 +51,14 @@ def update_scores(
     """Score what is new and merge it into the score archive.
 
     Only the (site, variable, model) partitions that gain a score are read back and
-    replaced.
+    replaced. New scores are written out once, since both steps use them.
     """
     forecasts = read_forecasts(spark, forecasts_path).withColumn("duration", F.lit(duration))
     targets = read_targets(spark, targets_path)
     stored = read_scores(spark, scores_path)
-    new = conform(score_incremental(forecasts, targets, stored, **options), SCORE_SCHEMA)
+    new = checkpointed(
+        conform(score_incremental(forecasts, targets, stored, **options), SCORE_SCHEMA)
+    )
     touched = stored.join(new.select(*SCORE_PARTITIONS).distinct(), SCORE_PARTITIONS, "left_semi")
     rewrite_partitions(merge_scores(touched, new, latest_only), scores_path, SCORE_PARTITIONS)
 

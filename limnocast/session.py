@@ -28,7 +28,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="limnocast-checkpoint-"))
