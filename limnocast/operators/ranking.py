@@ -1,4 +1,4 @@
-"""Groups too large for one task: finding them, and ranking inside them exactly."""
+"""Ranking inside groups too large for one task, and broadcasts of counted tables."""
 
 from __future__ import annotations
 
@@ -8,25 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limnocast.operators.joins import join_null_safe
-from limnocast.session import checkpointed
 
 HOT_ROWS = 200_000
 BROADCAST_ROWS = 100_000
 BINS = 1024
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame | None:
-    """Keys that hold more than ``limit`` rows, or None when there are none.
-
-    Counting reads the key columns only and combines before the shuffle. The answer is
-    small, at most rows / limit keys, and is written out once, so every later use
-    sees the same split even when executors are lost.
-    """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    found = checkpointed(counted.where(F.col("_rows") > limit).select(*keys))
-    return None if found.isEmpty() else sized(found)
-
-
 def sized(df: DataFrame) -> DataFrame:
     """Ask for a broadcast after counting that ``df`` is small; else leave joins to AQE.
 

@@ -16,7 +16,7 @@ from limnocast.operators.joins import (
     join_null_safe,
     with_depth_keys,
 )
-from limnocast.operators.ranking import HOT_ROWS, hot_keys, ranked_values, sized
+from limnocast.operators.ranking import HOT_ROWS, ranked_values, sized
 from limnocast.session import checkpointed
 
 OBSERVATION_KEY = ["site_id", "datetime", "duration", "variable", "depth"]
@@ -106,39 +106,58 @@ def score_groups(rows: DataFrame) -> DataFrame:
     )
 
 
+def work_list(
+    keyed_forecasts: DataFrame, targets: DataFrame, scores: DataFrame | None = None
+) -> DataFrame:
+    """The score keys to be scored, each with its observation and its number of rows.
+
+    Reads the key columns only: rows collapse to one per ensemble before they are shuffled,
+    and the joins with observations and stored scores run on those. Written out once, so
+    that every later use sees the same list.
+    """
+    keys = depth_keyed(SCORE_KEY)
+    groups = keyed_forecasts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    seen = with_depth_keys(observed(targets)).drop("depth")
+    todo = groups.join(seen, depth_keyed(OBSERVATION_KEY))
+    if scores is not None:
+        todo = todo.join(distinct_by(with_depth_keys(scores), keys), keys, "left_anti")
+    return checkpointed(todo)
+
+
 def score_forecasts(
     forecasts: DataFrame,
     targets: DataFrame,
     summaries: bool = True,
     hot_rows: int = HOT_ROWS,
+    scores: DataFrame | None = None,
 ) -> DataFrame:
     """CRPS, log score and ensemble summary of every forecast group with an observation.
 
-    The usual plan is one join and one aggregate that gathers each ensemble, a hundred
-    or so members, in its row. Observation keys with more than ``hot_rows`` forecast
-    rows are split off and scored from distributed ranks instead, with equal results.
+    Groups whose key is among ``scores`` are left out. Forecast rows join the work list
+    on the keys the aggregate groups by, so they move once; when the list is short
+    it is broadcast and only the rows to score move at all. Each ensemble, a hundred or
+    so members, is gathered in its row. Groups with more than ``hot_rows`` rows are
+    split off and scored from distributed ranks instead, with equal results.
     """
-    keys = depth_keyed(OBSERVATION_KEY)
+    keys = depth_keyed(SCORE_KEY)
     keyed = with_depth_keys(
         forecasts.where(F.col("prediction").isNotNull()).withColumn(
             "family", sample_family(F.col("family"))
         )
     )
-    pairs = observed(targets)
-    hot = hot_keys(keyed, keys, hot_rows)
-    if hot is None:
-        return score_in_rows(_paired(keyed, pairs), summaries)
-    usual = keyed.join(hot, keys, "left_anti")
-    crowded = keyed.join(hot, keys, "left_semi")
-    crowded_pairs = sized(
-        checkpointed(with_depth_keys(pairs).join(hot, keys, "left_semi").drop("depth"))
-    )
-    crowded = crowded.join(crowded_pairs, keys)
+    work = work_list(keyed, targets, scores)
+    crowded = work.where(F.col("n_rows") > hot_rows).drop("n_rows")
+    if crowded.isEmpty():
+        return score_in_rows(keyed.join(sized(work.drop("n_rows")), keys), summaries)
+    usual = work.where(F.col("n_rows") <= hot_rows).drop("n_rows")
+    kept_out = sized(crowded.select(*keys).distinct())
+    rows = keyed.join(kept_out, keys, "left_anti").join(sized(usual), keys)
+    hot = keyed.join(sized(crowded), keys)
     chance = F.col("family") == "bernoulli"
     return (
-        score_in_rows(_paired(usual, pairs), summaries)
-        .unionByName(score_by_rank(crowded.where(~chance), summaries))
-        .unionByName(score_probabilities(crowded.where(chance), summaries))
+        score_in_rows(rows, summaries)
+        .unionByName(score_by_rank(hot.where(~chance), summaries))
+        .unionByName(score_probabilities(hot.where(chance), summaries))
     )
 
 

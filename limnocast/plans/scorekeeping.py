@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from limnocast.functions.keys import horizon_fraction
 from limnocast.operators.ranking import HOT_ROWS
 from limnocast.operators.reshape import archive_slice, scoreable
-from limnocast.operators.scoring import merge_scores, score_forecasts, still_valid, unscored
+from limnocast.operators.scoring import merge_scores, score_forecasts, still_valid
 from limnocast.schemas import SCORE_PARTITIONS, SCORE_SCHEMA, conform
 from limnocast.session import checkpointed
 from limnocast.sources.readers import read_forecasts, read_scores, read_targets
@@ -31,12 +31,9 @@ def score_incremental(
 
     ``rescore`` treats a score whose observation has since changed as not there.
     """
-    pending = scoreable(forecasts, targets)
-    if scores is not None:
-        if rescore:
-            scores = still_valid(scores, targets, tolerance, absolute)
-        pending = unscored(pending, scores)
-    return score_forecasts(pending, targets, summaries, hot_rows)
+    if scores is not None and rescore:
+        scores = still_valid(scores, targets, tolerance, absolute)
+    return score_forecasts(scoreable(forecasts, targets), targets, summaries, hot_rows, scores)
 
 
 def update_scores(

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from limnocast.operators.ranking import hot_keys, ranked_values
+from limnocast.operators.joins import with_depth_keys
+from limnocast.operators.ranking import ranked_values
 from limnocast.operators.scoring import (
     match_targets,
     merge_scores,
@@ -13,6 +14,7 @@ from limnocast.operators.scoring import (
     score_joined,
     still_valid,
     unscored,
+    work_list,
 )
 from limnocast.plans.scorekeeping import score_batch, score_incremental
 
@@ -178,10 +180,21 @@ def test_ranked_values_match_a_plain_sort(spark):
         assert mine == expected
 
 
-def test_hot_keys(spark):
-    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2, "k string")
-    assert hot_keys(df, ["k"], 10) is None
-    assert [r["k"] for r in hot_keys(df, ["k"], 3).collect()] == ["a"]
+def test_work_list_holds_the_pending_groups_with_their_sizes(case):
+    _, _, fc, obs = case
+    keyed = with_depth_keys(fc.withColumn("family", F.lit("sample")))
+    sizes = {
+        (r["model_id"], r["datetime"].hour, r["variable"]): r["n_rows"]
+        for r in work_list(keyed, obs).collect()
+    }
+    assert sizes == {
+        ("a", 1, "temperature"): 40,
+        ("a", 2, "temperature"): 25,
+        ("b", 1, "temperature"): 60,
+        ("a", 1, "oxygen"): 31,
+    }
+    done = score_forecasts(fc.where("model_id = 'a'"), obs)
+    assert [r["model_id"] for r in work_list(keyed, obs, done).collect()] == ["b"]
 
 
 def test_unscored_leaves_only_new_keys(case):
