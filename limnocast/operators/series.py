@@ -9,6 +9,7 @@ inside a block, and one small row per block carries the values across block bord
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -296,9 +297,7 @@ def daily_mean(
 def missing_hours(df: DataFrame, start: str, end: str) -> DataFrame:
     """Hours of the days ``start`` to ``end`` that ``df`` has no row for."""
     spark = df.sparkSession
-    first, last = spark.sql(
-        f"SELECT unix_seconds(timestamp '{start}'), unix_seconds(timestamp '{end}')"
-    ).first()
+    first, last = (int(datetime.fromisoformat(d + "T00:00+00:00").timestamp()) for d in (start, end))
     hours = (last + DAY - first) // HOUR
     wanted = spark.range(hours).select(
         time_like(F.lit(first) + F.col("id") * HOUR, df, "datetime").alias("datetime")
@@ -309,7 +308,7 @@ def missing_hours(df: DataFrame, start: str, end: str) -> DataFrame:
 def missing_dates(stored: DataFrame, column: str, start: str, end: str) -> DataFrame:
     """Dates ``start`` to ``end`` not among the stored issue dates."""
     spark = stored.sparkSession
-    days = spark.sql(f"SELECT datediff(date '{end}', date '{start}')").first()[0] + 1
+    days = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
     wanted = spark.range(days).select(
         F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias(column)
     )

@@ -158,8 +158,8 @@ def repair_fluxes(met: DataFrame, lon: float, lat: float, step_hours: float = 0.
 
 def normalise_history(met: DataFrame, lon: float, lat: float) -> DataFrame:
     """Bring stored history to hourly steps and repair its fluxes, each only when needed."""
-    coarse = first_gap(met).where("needs_hourly").isEmpty() is False
-    broken = flux_coverage(met).where("empty").isEmpty() is False
+    coarse = not first_gap(met).where("needs_hourly").isEmpty()
+    broken = not flux_coverage(met).where("empty").isEmpty()
     if coarse:
         met = to_hourly(met, lon, lat, kelvin_shift=0.0).select(*met.columns)
     return repair_fluxes(met, lon, lat) if broken else met

@@ -171,10 +171,21 @@ def test_layer_depth_without_neighbours_is_the_middle(spark):
     assert row[0] == pytest.approx(0.05)
 
 
-def test_copies_and_repeated_depths_are_averaged(spark):
+@pytest.mark.parametrize("max_levels", [64, 1])
+def test_copies_and_repeated_depths_are_averaged(spark, max_levels):
     points = [(0.0, 10.0), (0.0, 10.0), (0.0, 13.0), (6.0, 5.0)]
-    held = gather_profiles(profile_rows(spark, [points])).first()["points"]
-    assert [(p["depth"], p["temperature"]) for p in held] == [(0.0, 11.0), (6.0, 5.0)]
+    rows = profile_rows(spark, [points, [(3.0, 4.0)]])
+    held = {
+        r["parameter"]: [tuple(p) for p in r["points"]]
+        for r in gather_profiles(rows, max_levels=max_levels).collect()
+    }
+    assert held == {"0": [(0.0, 11.0), (6.0, 5.0)], "1": [(3.0, 4.0)]}
+
+
+def test_no_temperature_gives_no_profiles(spark):
+    fc = profile_rows(spark, [[(0.0, 1.0)]]).where("variable = 'oxygen'")
+    assert gather_profiles(fc).count() == 0
+    assert profile_metrics(fc, LAKE).count() == 0
 
 
 def test_mixing_probability(spark):
