@@ -8,9 +8,9 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from checks.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="tables are not here")
 
@@ -39,6 +39,11 @@ def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_offers_every_query_and_twin():
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_twin(spark, duck, name):
     df = QUERIES[name](spark, SF)
