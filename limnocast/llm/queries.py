@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from limnocast.llm.common import ready, table
+from limnocast.llm.packing import pack_documents
+from limnocast.llm.sentence_pieces import encode_documents
 from limnocast.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +37,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: three-word shingles, at most three bits apart."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
+
+
+@query("op6_sentence_pieces")
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of all documents by the 32k merge-type vocabulary, as digests."""
+    model_file = public_tokenizers.path("piece_bpe_32k.model")
+    return encode_documents(table(spark, sf_dir, "documents"), model_file)
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
