@@ -19,17 +19,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the files.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that all executors share.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session that names none gets a folder of its own.
+    local session that names none gets a folder of its own. Spark removes a checkpoint once nothing refers to
+    it where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set, which only a session's start can do.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="limnocast-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and continue from the files."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
