@@ -1,27 +1,73 @@
 """The corpus pipeline over ``documents``: quality, language, near-duplicates, packing.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.
+Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. All but the last return
+the columns of ``docs``; the last returns where every piece of every kept document is packed.
 """
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from limnocast.llm.common import ready
+from limnocast.llm.common import ready, table
+from limnocast.llm.language_id import identify
+from limnocast.llm.packing import pack_documents
+from limnocast.llm.quality import score_quality
 from limnocast.llm.simhash import without_near_duplicates
+from limnocast.session import checkpoint_folder
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts to be good."""
+    ready(spark)
+    scored = score_quality(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
+    return scored.where(F.col("predicted") == 1).drop("held_out", "score", "predicted")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is not rejected."""
+    ready(spark)
+    named = identify(docs, keep=tuple(docs.columns))
+    return named.where(~F.col("rejected")).drop("held_out", "lang_pred", "score", "rejected")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates stays: the one with the smallest id."""
+    """One document of each group of SimHash near-duplicates: the one with the smallest id."""
     ready(spark)
     return without_near_duplicates(docs, words=3, max_bits=3)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every kept document, cut and packed into sequences of at most 2048 tokens."""
+    ready(spark)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+STAGES = [
+    ("quality", quality),
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("packing", packing),
+]
 
+# Neither the classifiers nor the packing can be said in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each stage's rows written to the checkpoint folder for the next."""
-    return STAGES[0][1](spark, ready(spark).read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    """All stages in order; each stage's rows are written to the shared folder and read again by the next."""
+    docs = table(ready(spark), sf_dir, "documents")
+    folders = []
+    for name, stage in STAGES[:-1]:
+        folders.append(f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}-{name}")
+        stage(spark, docs, sf_dir).write.parquet(folders[-1])
+        docs = spark.read.parquet(folders[-1])
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    # Packing has written its own copy of all it needs, so the stages' rows can go.
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return packed

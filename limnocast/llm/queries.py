@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from limnocast.llm.common import ready, table
+from limnocast.llm.language_id import identify
 from limnocast.llm.packing import pack_documents
+from limnocast.llm.quality import score_quality
 from limnocast.llm.sentence_pieces import encode_documents
 from limnocast.llm.simhash import near_duplicates
 
@@ -39,6 +41,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
 
 
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
 @query("op6_sentence_pieces")
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of all documents by the 32k merge-type vocabulary, as digests."""
@@ -46,6 +54,12 @@ def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), model_file)
 
 
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from ``labels.quality``."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op8_packing")
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
