@@ -1,13 +1,32 @@
-"""Connected components of an edge table, by alternating stars."""
+"""Connected components: of an edge table by alternating stars, and within one task."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limnocast.session import checkpointed
 
 
+class Forest:
+    """Union of row numbers; the label of a row is the smallest row joined to it."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            x, y = self.label[a], self.label[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b = a[apart], b[apart]
+            np.minimum.at(self.label, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+            while not np.array_equal(up := self.label[self.label], self.label):
+                self.label = up
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``; the root is the smallest node reachable.
 

@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from limnocast.llm import embedding_dups
 from limnocast.llm.common import ready, table
 from limnocast.llm.language_id import identify
+from limnocast.llm.nearest import nearest
 from limnocast.llm.packing import pack_documents
 from limnocast.llm.quality import score_quality
 from limnocast.llm.sentence_pieces import encode_documents
@@ -41,12 +44,50 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
 
 
+#: Vectors of usable components, in doubles.
+_VECTORS = """v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0)"""
+
+
+@query(
+    "op1_embedding_dups",
+    f"""WITH RECURSIVE {_VECTORS},
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+    counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+    FROM embeddings e JOIN least l ON e.vec_id = l.a LEFT JOIN counts c ON e.vec_id = c.a""",
+)
+def op1_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of vectors of one label with a cosine of 0.98 or more."""
+    return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 @query("op3_language_id")
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op4_nearest",
+    f"""WITH {_VECTORS},
+    pairs AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(
+        list_zip(q.e, c.e), lambda x: (x[1] - x[2]) * (x[1] - x[2])), lambda x, y: x + y)) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+    ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank, vec_id, score
+      FROM pairs)
+    SELECT * FROM ranked WHERE rank <= 10""",
+)
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 @query("op6_sentence_pieces")
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of all documents by the 32k merge-type vocabulary, as digests."""

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limnocast.llm.graph import components
+from limnocast.llm.graph import Forest, components
 from limnocast.session import checkpointed
 
 SEED = 42
@@ -101,24 +101,6 @@ def gray_rank(prints: np.ndarray) -> np.ndarray:
     return rank
 
 
-class _Forest:
-    """Union of row numbers; the label of a row is the smallest row joined to it."""
-
-    def __init__(self, n: int):
-        self.label = np.arange(n)
-
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        while True:
-            x, y = self.label[a], self.label[b]
-            apart = x != y
-            if not apart.any():
-                return
-            a, b = a[apart], b[apart]
-            np.minimum.at(self.label, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
-            while not np.array_equal(up := self.label[self.label], self.label):
-                self.label = up
-
-
 def _levels(keys: np.ndarray, prints: np.ndarray) -> list[tuple[np.ndarray, ...]]:
     """Levels of the trees under all upper nodes, rows first: (all-ones bits, any-ones bits, first child, end child)."""
     here, ones, some = keys, prints, prints
@@ -140,7 +122,7 @@ def near_links(keys: np.ndarray, prints: np.ndarray, max_bits: int) -> tuple[np.
     """A spanning forest of the pairs that share a key and differ in at most ``max_bits`` bits."""
     order = np.lexsort((gray_rank(prints), keys))
     keys, prints = keys[order], prints[order]
-    forest = _Forest(len(keys))
+    forest = Forest(len(keys))
     levels = _levels(keys, prints)
     top = len(levels) - 1
     roots = np.arange(len(levels[top][0]))
