@@ -148,7 +148,7 @@ class MergePieces:
         for block in self._blocks(SPACE + text.replace(" ", SPACE)):
             segments = self._splitter.findall(block)
             distinct = set(segments)
-            new = [x for x in distinct if x not in self._runs]
+            new = list(distinct.difference(self._runs))
             if len(self._runs) + len(new) > CACHE_SEGMENTS:
                 for held in (self._runs, self._shown, self._odd):
                     held.clear()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 from tokenizers import Tokenizer
 
 #: Characters for which lower-casing and splitting below are those of the file, letter by letter.
@@ -29,11 +30,21 @@ class WordTokens:
         self._tokenizer.encode_special_tokens = True
         self._held: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def _learn(self, words: list[str]) -> None:
+        """Hold the ids of new words: plain ones are encoded as one text, which falls apart at its spaces."""
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        found = self._tokenizer.encode(" ".join(plain), add_special_tokens=False)
+        ids, numbers = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
+        ends = np.flatnonzero(np.diff(numbers, append=-1)) + 1
+        if len(ends) != len(plain):
+            raise ValueError("the tokenizer splits words that it should not")
+        run = ids.tobytes()
+        starts = ends - np.diff(ends, prepend=0)
+        for word, start, end in zip(plain, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
+            self._held[word] = run[start:end]
+        rest = [w for w in words if w not in self._held]
+        for word, one in zip(rest, self._tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self._held[word] = np.array(one.ids, "<u4").tobytes()
 
     def _blocks(self, text: str) -> Iterator[str]:
         begin = 0
@@ -61,13 +72,13 @@ class WordTokens:
         held = self._held
         for block in self._blocks(text or ""):
             words = self._words(block)
-            new = list({w for w in words if w not in held})
+            distinct = set(words)
+            new = list(distinct.difference(held))
             if len(held) + len(new) > CACHE_WORDS:
                 held.clear()
-                new = list(set(words))
+                new = list(distinct)
             for begin in range(0, len(new), 10_000):
-                part = new[begin : begin + 10_000]
-                held.update(zip(part, self._encode(part), strict=True))
+                self._learn(new[begin : begin + 10_000])
             out.append(b"".join([held[w] for w in words]))
         return b"".join(out)
 
