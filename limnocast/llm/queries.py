@@ -15,7 +15,9 @@ from limnocast.llm.nearest import nearest
 from limnocast.llm.packing import pack_documents
 from limnocast.llm.quality import score_quality
 from limnocast.llm.sentence_pieces import encode_documents
+from limnocast.llm.sharding import shard
 from limnocast.llm.simhash import near_duplicates
+from limnocast.llm.url_filter import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +69,12 @@ def op1_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
 
 
+@query("op2_url_filter")
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's URL, by the fixed rules and by path templates."""
+    return judge(table(spark, sf_dir, "pages"))
+
+
 @query("op3_language_id")
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
@@ -88,6 +96,12 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+@query("op5_sharding")
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards along a Hilbert curve over language, source and size."""
+    return shard(table(spark, sf_dir, "documents"), 16)
+
+
 @query("op6_sentence_pieces")
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of all documents by the 32k merge-type vocabulary, as digests."""
