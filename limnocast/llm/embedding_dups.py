@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limnocast.llm.graph import Forest, components
-from limnocast.llm.vectors import SLACK, Rounded, blocked, longs_of, usable, vectors_of
+from limnocast.llm.vectors import SLACK, Rounded, blocked, longs_of, usable, vectors_of, with_sizes
 from limnocast.session import checkpointed
 
 COSINE = 0.98
@@ -89,7 +89,7 @@ def near_duplicates(
     classes = fit.groupBy("label", "vector").agg(F.count("*").alias("copies"), F.min("id").alias("low"))
     classes = checkpointed(classes.withColumn("key", F.monotonically_increasing_id()).withColumn("width", F.size("vector")))
     sizes = classes.groupBy("label", "width").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
-    dealt = classes.join(sizes, ["label", "width"]).withColumn("block", F.pmod(F.xxhash64("key"), "blocks"))
+    dealt = with_sizes(classes, sizes, ["label", "width"], "key").withColumn("block", F.pmod(F.xxhash64("key"), "blocks"))
     blocks = blocked(dealt, ["label", "width", "blocks", "block"], ["key", "copies"], "vector")
     tiles = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "label", "width", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),

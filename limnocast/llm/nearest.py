@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from limnocast.llm.vectors import SLACK, Rounded, blocked, longs_of, usable, vectors_of
+from limnocast.llm.vectors import SLACK, Rounded, blocked, longs_of, usable, vectors_of, with_sizes
 from limnocast.session import checkpointed
 
 NEIGHBOURS = 10
@@ -90,7 +90,7 @@ def nearest(
         F.ceil(F.count("*") / candidate_rows).alias("candidate_blocks"),
         F.greatest(F.ceil(F.sum(F.col("asks").cast("long")) / query_rows), F.lit(1)).alias("query_blocks"),
     )
-    dealt = held.join(sizes, "width").withColumn("mix", F.xxhash64("id", "vector"))
+    dealt = with_sizes(held.withColumn("mix", F.xxhash64("id", "vector")), sizes, ["width"], "mix")
     every = dealt.withColumn("asks", F.lit(False)).withColumn("block", F.pmod("mix", "candidate_blocks"))
     asking = dealt.where("asks").withColumn("block", F.pmod("mix", "query_blocks"))
     keys = ["width", "asks", "block", "candidate_blocks", "query_blocks"]

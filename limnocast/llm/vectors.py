@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Covers the rounding of double arithmetic beside the bounds proper, relative to the numbers involved.
 SLACK = 1e-9
+#: Ways that the rows of one key are spread before they meet the size of their key.
+SALTS = 64
 
 
 def usable(vector: str | Column) -> Column:
@@ -20,6 +22,12 @@ def usable(vector: str | Column) -> Column:
     return F.coalesce(sound & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def with_sizes(rows: DataFrame, sizes: DataFrame, keys: list[str], mix: str) -> DataFrame:
+    """``rows`` joined to ``sizes``, one row per ``keys``, so that a key with most of the rows is spread by ``mix``."""
+    salted = sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(mix), F.lit(SALTS)).cast("int")).join(salted, [*keys, "_salt"]).drop("_salt")
+
+
 def blocked(rows: DataFrame, keys: list[str], longs: list[str], vector: str) -> DataFrame:
     """One row per group of ``keys``: the ``longs`` and the vectors of its rows as bytes.
 
