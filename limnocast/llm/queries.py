@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from limnocast.llm import embedding_dups
 from limnocast.llm.common import ready, table
 from limnocast.llm.language_id import identify
+from limnocast.llm.licenses import FILE_COSINE, LINE_COSINE, TEMPLATES, scan
 from limnocast.llm.nearest import nearest
 from limnocast.llm.packing import pack_documents
 from limnocast.llm.quality import score_quality
@@ -119,3 +120,49 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+def _licence_sql() -> str:
+    notices = ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(TEMPLATES))
+    terms = "list_filter(list_distinct(string_split_regex(lower({}), '[^a-z0-9]+')), lambda x: x <> '')"
+    return f"""WITH notice(template, licence, body) AS (VALUES {notices}),
+    entry AS (SELECT template, licence, unnest({terms.format("body")}) AS term FROM notice),
+    docs AS (SELECT row_number() OVER () AS r, doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, text FROM documents),
+    held AS (SELECT *, regexp_replace(path, '/?[^/]*$', '') AS dir FROM docs),
+    present AS (SELECT r, unnest({terms.format("text")}) AS term FROM held),
+    counts AS (SELECT term, count(*) AS n FROM present GROUP BY term),
+    total AS (SELECT count(*) AS n FROM documents),
+    idf AS (SELECT e.term, ln((1 + (SELECT n FROM total)) / (1 + coalesce(c.n, 0))) + 1 AS idf
+      FROM (SELECT DISTINCT term FROM entry) e LEFT JOIN counts c USING (term)),
+    strange AS (SELECT ln(1 + (SELECT n FROM total)) + 1 AS idf),
+    lengths AS (SELECT template, sum(idf * idf) AS square FROM entry JOIN idf USING (term) GROUP BY template),
+    bodies AS (SELECT r, text AS body, true AS is_file FROM held WHERE text IS NOT NULL
+      UNION ALL SELECT r, unnest(string_split(text, chr(10))), false FROM held),
+    units AS (SELECT row_number() OVER () AS u, r, is_file, {terms.format("body")} AS terms FROM bodies),
+    parts AS (SELECT u, unnest(terms) AS term FROM units),
+    own AS (SELECT u, sum(coalesce(i.idf, (SELECT idf FROM strange)) ** 2) AS square FROM parts LEFT JOIN idf i USING (term) GROUP BY u),
+    dots AS (SELECT u, template, licence, sum(idf * idf) AS dot FROM parts JOIN idf USING (term) JOIN entry USING (term) GROUP BY ALL),
+    cosines AS (SELECT u, licence, round(dot / sqrt(l.square * o.square), 9) AS cosine
+      FROM dots JOIN lengths l USING (template) JOIN own o USING (u)),
+    nearest AS (SELECT u, licence, cosine FROM cosines QUALIFY row_number() OVER (PARTITION BY u ORDER BY cosine DESC, licence) = 1),
+    found AS (SELECT r, is_file, licence, cosine FROM nearest JOIN units USING (u)
+      WHERE cosine >= CASE WHEN is_file THEN {FILE_COSINE} ELSE {LINE_COSINE} END),
+    best AS (SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY r ORDER BY is_file DESC, cosine DESC, licence) = 1),
+    listed AS (SELECT r, string_agg(DISTINCT licence, ',' ORDER BY licence) AS notices FROM found WHERE NOT is_file GROUP BY r),
+    spoken AS (SELECT dir, licence FROM (SELECT dir, licence, count(*) AS n FROM best JOIN held USING (r) WHERE is_file GROUP BY ALL)
+      QUALIFY row_number() OVER (PARTITION BY dir ORDER BY n DESC, licence) = 1),
+    heirs AS (SELECT d.dir, s.dir AS from_dir, s.licence FROM (SELECT DISTINCT dir FROM held) d JOIN spoken s
+      ON s.dir = '' OR d.dir = s.dir OR starts_with(d.dir, s.dir || '/')
+      QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(s.dir) DESC) = 1)
+    SELECT h.doc_id, h.path, coalesce(b.licence, i.licence) AS license,
+      CASE WHEN b.r IS NOT NULL THEN CASE WHEN b.is_file THEN 'file' ELSE 'notice' END
+        WHEN i.licence IS NOT NULL THEN 'inherited' END AS basis,
+      b.cosine, coalesce(l.notices, '') AS notices, CASE WHEN b.r IS NULL THEN i.from_dir END AS from_dir
+    FROM held h LEFT JOIN best b USING (r) LEFT JOIN listed l USING (r) LEFT JOIN heirs i ON h.dir = i.dir"""
+
+
+@query("op10_licenses", _licence_sql())
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document by its notices or its directory, ``source/lang``."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return scan(table(spark, sf_dir, "documents"), path)
