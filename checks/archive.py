@@ -469,7 +469,7 @@ def kpi_mixed(spark, d):
     with_tables(
         "forecasts",
         extra=_LATEST_SQL,
-        body="""SELECT strftime(MAX(reference_datetime)+INTERVAL 1 HOUR,'%b %d, %Y %H:%M') AS issued,
+        body="""SELECT strftime(MAX(reference_datetime)+INTERVAL 1 HOUR,'%b %d, %Y %H:%M')||' CET' AS issued,
         CAST(ROUND_EVEN((epoch(MAX(datetime))-epoch(MAX(reference_datetime)))/864e2,0) AS INTEGER)
         AS horizon_days FROM latest""",
     ),
@@ -483,7 +483,8 @@ def kpi_horizon(spark, d):
     with_tables(
         "forecasts",
         extra={
-            "ends": "SELECT MIN(datetime) AS a, MAX(datetime) AS b FROM forecasts WHERE variable='temperature'",
+            "ends": "SELECT MIN(datetime)+INTERVAL 1 HOUR AS a, MAX(datetime)+INTERVAL 1 HOUR AS b "
+            "FROM forecasts WHERE variable='temperature'",
             "days": "SELECT date_trunc('day',m+INTERVAL 12 HOUR) AS mark FROM "
             "(SELECT UNNEST(generate_series(a,b,INTERVAL 1 DAY)) AS m FROM ends)",
             "major": "SELECT date_trunc('day',m+INTERVAL 12 HOUR) AS mark FROM "
@@ -493,7 +494,25 @@ def kpi_horizon(spark, d):
     ),
 )
 def date_axis(spark, d):
-    return dashboard.date_axis(archive_slice(archive(spark, d), variables=["temperature"]))
+    rows = archive_slice(archive(spark, d), variables=["temperature"])
+    return dashboard.date_axis(dashboard.labelled(rows, {}, ZONE))
+
+
+@query(
+    "dashboard_mixing",
+    with_tables(
+        "fc_profile",
+        extra=MIXED_SQL,
+        body="""SELECT CASE model_id WHEN 'model_a' THEN 'First' ELSE model_id END AS model_id,
+        reference_datetime+INTERVAL 1 HOUR AS reference_datetime,datetime+INTERVAL 1 HOUR AS datetime,
+        ROUND(prediction,6) AS prediction FROM mixing
+        WHERE reference_datetime=(SELECT MAX(reference_datetime) FROM fc_profile)""",
+    ),
+)
+def dashboard_mixing(spark, d):
+    derived = mixing_rows(archive(spark, d))
+    shown = dashboard.dashboard_tables(derived, MODELS, {"model_a": "First"}, ZONE)["mixing"]
+    return shown.select("model_id", "reference_datetime", "datetime", F.round("prediction", 6).alias("prediction"))
 
 
 @query(
@@ -557,17 +576,17 @@ def horizons(spark, d):
 @query(
     "string_parts",
     with_tables(
-        "fc_members",
+        "forecasts",
         body="""SELECT strftime(reference_datetime,'%Y-%m-%d') AS issue_date,model_id,
         'met_'||model_id||'_'||parameter||'.csv' AS file,parameter AS member,'b' AS last_part,COUNT(*) AS n
-        FROM fc_members WHERE model_id='model_b' GROUP BY ALL
+        FROM forecasts WHERE model_id='model_b' GROUP BY ALL
         UNION ALL SELECT strftime(reference_datetime,'%Y-%m-%d'),model_id,
         'met_'||model_id||'_'||parameter||'.csv',parameter,'a',COUNT(*)
-        FROM fc_members WHERE model_id='model_a' GROUP BY ALL""",
+        FROM forecasts WHERE model_id='model_a' GROUP BY ALL""",
     ),
 )
 def string_parts(spark, d):
-    surface = archive_slice(archive(spark, d), variables=["oxygen"])
+    rows = archive(spark, d)
     path = F.concat(
         F.lit("drivers/reference_datetime="),
         F.col("reference_date"),
@@ -580,7 +599,7 @@ def string_parts(spark, d):
     name = base_name(F.col("path"))
     stem = strip(name, "met_", ".csv")
     return (
-        surface.select("model_id", path.alias("path"))
+        rows.select("model_id", path.alias("path"))
         .select(
             path_value(F.col("path"), "reference_datetime").alias("issue_date"),
             "model_id",

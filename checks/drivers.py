@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.tables import LAT, LON, SITE, analysis_grid, forecast_grid, met, with_tables
-from limnocast.functions.keys import day_of_year
+from limnocast.functions.keys import day_of_year, epoch, time_like
 from limnocast.functions.solar import cos_zenith, equation_of_time, potential_radiation
 from limnocast.operators.series import (
     FILLS,
@@ -301,6 +301,45 @@ def flux_repair(spark, d):
     return _rows(J.repair_fluxes(met(spark, d), LON, LAT))
 
 
+_HOURLY = """SELECT s.site AS site_id,m.family,m.parameter,m.variable,
+  TIMESTAMP '2024-01-01'+to_seconds(CAST((epoch(m.datetime)-epoch(TIMESTAMP '2024-01-01'))/6 AS BIGINT)) AS datetime,
+  CASE WHEN s.site='HOLLOW' AND m.variable='{longwave}' THEN NULL ELSE m.prediction END AS prediction
+  FROM met m CROSS JOIN (VALUES ('HOLLOW'),('SOUND')) s(site)"""
+
+
+@query(
+    "normalise_history",
+    with_tables(
+        "met",
+        extra={
+            "sites": _HOURLY.format(longwave=LONGWAVE),
+            "estimated": f"""SELECT m.site_id,m.family,m.parameter,m.variable,m.datetime,CASE
+              WHEN m.prediction IS NOT NULL THEN m.prediction
+              WHEN m.variable='{PRECIPITATION}' THEN 0e0
+              WHEN m.variable='{SHORTWAVE}' THEN 1366e0*{cosz_sql("m.datetime", LON, LAT)}*5e-1
+              WHEN m.variable='{LONGWAVE}' THEN 0.97e0*5.67e-8*POW(a.prediction,4e0) END AS prediction
+              FROM sites m LEFT JOIN sites a ON a.site_id=m.site_id AND a.family=m.family
+              AND a.parameter=m.parameter AND a.datetime=m.datetime AND a.variable='air_temperature'
+              WHERE m.site_id='HOLLOW'""",
+        },
+        body=f"""SELECT {SERIES},datetime,FLOOR({_FILL_SQL}*1e6+5e-1)/1e6 AS prediction FROM estimated
+        UNION ALL SELECT {SERIES},datetime,FLOOR(prediction*1e6+5e-1)/1e6 FROM sites WHERE site_id='SOUND'""",
+    ),
+)
+def normalised(spark, d):
+    rows, start = met(spark, d), 1704067200
+    hours = rows.withColumn(
+        "datetime", time_like(F.lit(start) + ((epoch(F.col("datetime")) - start) / 6).cast("long"), rows, "datetime")
+    )
+    hollow = hours.withColumns(
+        {
+            "site_id": F.lit("HOLLOW"),
+            "prediction": F.when(F.col("variable") != LONGWAVE, F.col("prediction")),
+        }
+    )
+    return _rows(J.normalise_history(hollow.unionByName(hours.withColumn("site_id", F.lit("SOUND"))), LON, LAT))
+
+
 def _met_times(spark, d):
     return met(spark, d).select("parameter", "variable", "datetime")
 

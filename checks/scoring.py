@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from checks.archive import MIXED_SQL
@@ -14,6 +16,7 @@ from limnocast.operators.scoring import (
     match_targets,
     merge_scores,
     score_forecasts,
+    single_observation,
     still_valid,
     unscored,
 )
@@ -53,6 +56,13 @@ def score_sql(rows: str) -> dict[str, str]:
     }
 
 
+def _renamed(sql: str) -> str:
+    """A step of ``score_sql`` that reads a second set of steps."""
+    for step in ("ranked", "summary", "width", "kernel"):
+        sql = re.sub(rf"(FROM|JOIN) {step}\b", rf"\1 other_{step}", sql)
+    return sql
+
+
 _PAIR = """SELECT model_id,reference_datetime,datetime,variable,depth,parameter,ROUND(prediction,6) AS prediction,
   ROUND(observation,6) AS observation FROM joined"""
 _PAIR_COLUMNS = [
@@ -211,12 +221,31 @@ def ensemble_summary(spark, d):
     ),
 )
 def single_obs(spark, d):
-    y = F.col("observation")
-    return (
-        match_targets(forecasts(spark, d), targets(spark, d))
-        .groupBy(*GROUP)
-        .agg(F.round(F.min(y), 6).alias("observation"), (F.min(y) == F.max(y)).alias("single"))
+    joined = match_targets(forecasts(spark, d), targets(spark, d))
+    return _rounded(single_observation(joined, GROUP), "observation")
+
+
+@query(
+    "score_extra_groups",
+    with_tables(
+        "joined",
+        extra={
+            "one": "SELECT * FROM joined",
+            **score_sql("one"),
+            "other": "SELECT * REPLACE (observation+1e0 AS observation) FROM joined",
+            **{f"other_{k}": _renamed(v) for k, v in score_sql("other").items()},
+        },
+        body=f"""SELECT {_G},'p1' AS project_id,ROUND(observation,6) AS observation,ROUND(crps,6) AS crps FROM scores
+        UNION ALL SELECT {_G},'p2',ROUND(observation,6),ROUND(crps,6) FROM other_scores""",
+    ),
+)
+def score_extra_groups(spark, d):
+    seen = targets(spark, d)
+    both = seen.withColumn("project_id", F.lit("p1")).union(
+        seen.withColumn("observation", F.col("observation") + 1.0).withColumn("project_id", F.lit("p2"))
     )
+    scored = score_forecasts(forecasts(spark, d), both, summaries=False)
+    return _rounded(scored, "observation", "crps").select(*GROUP, "project_id", "observation", "crps")
 
 
 _OBSERVED_MIXING_SQL = {

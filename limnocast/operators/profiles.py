@@ -288,13 +288,17 @@ def profile_metrics(
 
 
 def mixing_probability(
-    forecasts: DataFrame, top: float = 0.5, bottom: float = 5.0, threshold: float = 0.1
+    forecasts: DataFrame,
+    top: float = 0.5,
+    bottom: float = 5.0,
+    threshold: float = 0.1,
+    keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Share of members whose density differs by less than ``threshold`` between depths.
 
     A member that lacks one of the depths leaves the whole probability null.
     """
-    member = existing(forecasts, PROFILE_KEY)
+    member = list(keys or existing(forecasts, PROFILE_KEY))
     group = [k for k in member if k != "parameter"]
     pairs = depths_wide(
         forecasts.where(F.col("variable") == "temperature").select(*member, "depth", "prediction"),

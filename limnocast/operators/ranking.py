@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limnocast.operators.joins import join_null_safe
+from limnocast.session import checkpointed
 
 HOT_ROWS = 200_000
 BROADCAST_ROWS = 100_000
-BINS = 1024
+BINS = 512
 
 
 def sized(df: DataFrame) -> DataFrame:
@@ -25,55 +26,27 @@ def sized(df: DataFrame) -> DataFrame:
 def ranked_values(df: DataFrame, keys: Sequence[str], value: str, bins: int = BINS) -> DataFrame:
     """Distinct values per group with copies, rank of the last copy, and group size.
 
-    Columns: keys, value, ``copies``, ``upto``, ``members``. No step gathers a
-    group in one task: copies are counted first, the values are cut twice into bins
-    fitted to the range they really have, counts are accumulated over bins (at most
-    ``bins`` rows per window), and only the inside of a bin is sorted.
+    Columns: keys, value, ``copies``, ``upto``, ``members``. Copies are counted first. The distinct values are then
+    dealt into ``bins`` ranges of about equally many rows, cut at sampled quantiles of (group, value), so
+    the shape of the values does not matter and a large group lies in many ranges. Counts are accumulated over
+    ranges (at most ``bins`` rows per window), and only the inside of a range is sorted.
     """
     keys = list(keys)
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("copies"))
-    cut = _add_bin(counted, keys, value, "_outer", bins)
-    cut = _add_bin(cut, [*keys, "_outer"], value, "_inner", bins)
+    dealt = counted.repartitionByRange(bins, *keys, value).withColumn("_bin", F.spark_partition_id())
+    cut = checkpointed(dealt)
 
-    inner = cut.groupBy(*keys, "_outer", "_inner").agg(F.sum("copies").alias("_n"))
-    outer = inner.groupBy(*keys, "_outer").agg(F.sum("_n").alias("_n"))
-    before = (Window.unboundedPreceding, -1)
-    over_outer = Window.partitionBy(*keys).orderBy("_outer")
-    outer = outer.select(
+    totals = cut.groupBy(*keys, "_bin").agg(F.sum("copies").alias("_n"))
+    over_bins = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
         *keys,
-        "_outer",
-        F.coalesce(F.sum("_n").over(over_outer.rowsBetween(*before)), F.lit(0)).alias("_base"),
+        "_bin",
+        F.coalesce(F.sum("_n").over(over_bins), F.lit(0)).alias("_offset"),
         F.sum("_n").over(Window.partitionBy(*keys)).alias("members"),
     )
-    over_inner = Window.partitionBy(*keys, "_outer").orderBy("_inner")
-    inner = inner.select(
-        *keys,
-        "_outer",
-        "_inner",
-        F.coalesce(F.sum("_n").over(over_inner.rowsBetween(*before)), F.lit(0)).alias("_within"),
-    )
-    offsets = join_null_safe(inner, outer, [*keys, "_outer"]).select(
-        *keys, "_outer", "_inner", "members", (F.col("_base") + F.col("_within")).alias("_offset")
-    )
-    inside = (
-        Window.partitionBy(*keys, "_outer", "_inner")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    inside = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     return (
         cut.withColumn("_run", F.sum("copies").over(inside))
-        .transform(lambda d: join_null_safe(d, offsets, [*keys, "_outer", "_inner"]))
+        .transform(lambda d: join_null_safe(d, offsets, [*keys, "_bin"]))
         .select(*keys, value, "copies", (F.col("_offset") + F.col("_run")).alias("upto"), "members")
     )
-
-
-def _add_bin(df: DataFrame, keys: list[str], value: str, name: str, bins: int) -> DataFrame:
-    """Number the value's place, 0 to bins - 1, in the range of its group."""
-    span = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    share = (F.col(value) - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
-    number = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
-    return (
-        join_null_safe(df, span, keys)
-        .withColumn(name, F.coalesce(number, F.lit(0)))
-        .drop("_low", "_high")
-    )

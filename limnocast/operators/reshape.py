@@ -56,8 +56,12 @@ def archive_slice(
     depths: Sequence[float] | None = None,
     variable_types: Sequence[str] | None = None,
     issued: Column | None = None,
+    dated: Column | None = None,
 ) -> DataFrame:
-    """Equality and IN filters on the archive; they reach partitions and the scan."""
+    """Equality and IN filters on the archive; they reach partitions and the scan.
+
+    ``dated`` is the value of the partition column ``reference_date``.
+    """
     tests = {
         "model_id": models,
         "variable": variables,
@@ -67,6 +71,8 @@ def archive_slice(
     for column, wanted in tests.items():
         if wanted is not None:
             forecasts = forecasts.where(F.col(column).isin(*wanted))
+    if dated is not None:
+        forecasts = forecasts.where(F.col("reference_date") == dated)
     if issued is not None:
         forecasts = forecasts.where(F.col("reference_datetime") == issued)
     return forecasts
@@ -90,16 +96,27 @@ def last_observed(targets: DataFrame) -> DataFrame:
 def latest_issue(forecasts: DataFrame, models: Sequence[str]) -> DataFrame:
     """One row: the latest issue time over a set of models.
 
-    With a ``reference_date`` partition column the newest date is found first, from
-    partition values, and only that date's rows are read for the time.
+    With a ``reference_date`` partition column the newest date is found first, by a scan that
+    reads no data column, and only that date's rows are read for the time.
     """
     chosen = forecasts.where(F.col("model_id").isin(*models))
     if "reference_date" in forecasts.columns:
-        newest = chosen.agg(F.max("reference_date")).scalar()
-        chosen = chosen.where(F.col("reference_date") == newest)
+        chosen = chosen.where(F.col("reference_date") == newest_date(forecasts, models))
     return chosen.agg(F.max("reference_datetime").alias("reference_datetime"))
 
 
+def newest_date(forecasts: DataFrame, models: Sequence[str]) -> Column:
+    """The newest ``reference_date`` of a set of models, as a scalar that prunes partitions."""
+    return forecasts.where(F.col("model_id").isin(*models)).agg(F.max("reference_date")).scalar()
+
+
+def latest_slice(forecasts: DataFrame, models: Sequence[str], **tests) -> DataFrame:
+    """Rows of the latest issue; of an archive by ``reference_date`` only that date's partitions are read."""
+    dated = newest_date(forecasts, models) if "reference_date" in forecasts.columns else None
+    issued = latest_issue(forecasts, models).scalar()
+    return archive_slice(forecasts, models=models, issued=issued, dated=dated, **tests)
+
+
 def extent(df: DataFrame) -> DataFrame:
     """One row: first and last time held."""
     return df.agg(F.min("datetime").alias("min"), F.max("datetime").alias("max"))
@@ -110,7 +127,12 @@ def date_trim(df: DataFrame, start: str, end: str | None = None) -> DataFrame:
 
     Written as a half-open range of the time column itself so that it is pushed to the scan.
     """
+    return df.where(between_days(df, start, end))
+
+
+def between_days(df: DataFrame, start: str, end: str | None = None) -> Column:
+    """The test of ``date_trim``."""
     kind = df.schema["datetime"].dataType
     first = F.lit(start).cast("date").cast(kind)
     after = F.date_add(F.lit(end or start).cast("date"), 1).cast(kind)
-    return df.where((F.col("datetime") >= first) & (F.col("datetime") < after))
+    return (F.col("datetime") >= first) & (F.col("datetime") < after)

@@ -36,15 +36,35 @@ GROUPING = [
 SUMMARIES = ["mean", "median", "sd", "quantile97.5", "quantile02.5", "quantile90", "quantile10"]
 
 
-def observed(targets: DataFrame) -> DataFrame:
-    """Non-null observations; exact copies count once."""
+def observed(targets: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Non-null observations with the ``extra`` columns beside them; exact copies count once."""
     return (
         targets.where(F.col("observation").isNotNull())
-        .select(*OBSERVATION_KEY, "observation")
+        .select(*OBSERVATION_KEY, *extra, "observation")
         .distinct()
     )
 
 
+def target_groups(forecasts: DataFrame, targets: DataFrame, extra: Sequence[str] = ()) -> list[str]:
+    """Grouping columns that only the targets have: ``project_id`` and what ``extra`` names."""
+    named = dict.fromkeys(["project_id", *extra])
+    return [c for c in named if c in targets.columns and c not in forecasts.columns]
+
+
+def shared_groups(forecasts: DataFrame, targets: DataFrame, extra: Sequence[str] = ()) -> list[str]:
+    """Grouping columns that both sides have and so must agree in, null with null."""
+    named = dict.fromkeys(["project_id", *extra])
+    return [c for c in named if c in targets.columns and c in forecasts.columns]
+
+
+def single_observation(joined: DataFrame, groups: Sequence[str] | None = None) -> DataFrame:
+    """Per group of a joined table its least ``observation`` and whether it is the only one."""
+    y = F.col("observation")
+    return joined.groupBy(*(groups or existing(joined, GROUPING))).agg(
+        F.min(y).alias("observation"), (F.min(y) == F.max(y)).alias("single")
+    )
+
+
 def match_targets(forecasts: DataFrame, targets: DataFrame, how: str = "inner") -> DataFrame:
     """Forecast rows with their observation; a null depth matches a null depth."""
     return _paired(with_depth_keys(forecasts), observed(targets), how).drop(*DEPTH_KEYS)
@@ -107,17 +127,26 @@ def score_groups(rows: DataFrame) -> DataFrame:
 
 
 def work_list(
-    keyed_forecasts: DataFrame, targets: DataFrame, scores: DataFrame | None = None
+    keyed_forecasts: DataFrame,
+    targets: DataFrame,
+    scores: DataFrame | None = None,
+    extra_groups: Sequence[str] = (),
 ) -> DataFrame:
     """The score keys to be scored, each with its observation and its number of rows.
 
+    Grouping columns that only the targets have come along: a key then has one row for each of their values.
+
     Reads the key columns only: rows collapse to one per ensemble before they are shuffled,
     and the joins with observations and stored scores run on those. Written out once, so
     that every later use sees the same list.
     """
     keys = depth_keyed(SCORE_KEY)
     groups = keyed_forecasts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    seen = with_depth_keys(observed(targets)).drop("depth")
+    beside = target_groups(keyed_forecasts, targets, extra_groups)
+    shared = shared_groups(keyed_forecasts, targets, extra_groups)
+    seen = with_depth_keys(observed(targets, [*beside, *shared])).drop("depth")
+    if shared:
+        seen = seen.withColumnsRenamed({c: f"_seen_{c}" for c in shared})
     todo = groups.join(seen, depth_keyed(OBSERVATION_KEY))
     if scores is not None:
         todo = todo.join(distinct_by(with_depth_keys(scores), keys), keys, "left_anti")
@@ -130,9 +159,12 @@ def score_forecasts(
     summaries: bool = True,
     hot_rows: int = HOT_ROWS,
     scores: DataFrame | None = None,
+    extra_groups: Sequence[str] = (),
 ) -> DataFrame:
     """CRPS, log score and ensemble summary of every forecast group with an observation.
 
+    ``extra_groups`` names columns of either table to group by beside the usual ones, of which
+    ``project_id`` is one; a column of both must agree.
     Groups whose key is among ``scores`` are left out. Forecast rows join the work list
     on the keys the aggregate groups by, so they move once; when the list is short
     it is broadcast and only the rows to score move at all. Each ensemble, a hundred or
@@ -145,19 +177,27 @@ def score_forecasts(
             "family", sample_family(F.col("family"))
         )
     )
-    work = work_list(keyed, targets, scores)
+    work = work_list(keyed, targets, scores, extra_groups)
+    shared = shared_groups(keyed, targets, extra_groups)
+
+    def joined(rows: DataFrame, listed: DataFrame) -> DataFrame:
+        rows = rows.join(sized(listed), keys)
+        for c in shared:
+            rows = rows.where(F.col(c).eqNullSafe(F.col(f"_seen_{c}"))).drop(f"_seen_{c}")
+        return rows
+
     crowded = work.where(F.col("n_rows") > hot_rows).drop("n_rows")
     if crowded.isEmpty():
-        return score_in_rows(keyed.join(sized(work.drop("n_rows")), keys), summaries)
+        return score_in_rows(joined(keyed, work.drop("n_rows")), summaries, extra_groups)
     usual = work.where(F.col("n_rows") <= hot_rows).drop("n_rows")
     kept_out = sized(crowded.select(*keys).distinct())
-    rows = keyed.join(kept_out, keys, "left_anti").join(sized(usual), keys)
-    hot = keyed.join(sized(crowded), keys)
+    rows = joined(keyed.join(kept_out, keys, "left_anti"), usual)
+    hot = joined(keyed, crowded)
     chance = F.col("family") == "bernoulli"
     return (
-        score_in_rows(rows, summaries)
-        .unionByName(score_by_rank(hot.where(~chance), summaries))
-        .unionByName(score_probabilities(hot.where(chance), summaries))
+        score_in_rows(rows, summaries, extra_groups)
+        .unionByName(score_by_rank(hot.where(~chance), summaries, extra_groups))
+        .unionByName(score_probabilities(hot.where(chance), summaries, extra_groups))
     )
 
 
@@ -167,8 +207,8 @@ def score_joined(joined: DataFrame, summaries: bool = True) -> DataFrame:
     return score_in_rows(with_depth_keys(named), summaries)
 
 
-def _group_keys(joined: DataFrame) -> tuple[list[str], list[str]]:
-    groups = existing(joined, GROUPING)
+def _group_keys(joined: DataFrame, extra_groups: Sequence[str] = ()) -> tuple[list[str], list[str]]:
+    groups = existing(joined, list(dict.fromkeys([*GROUPING, *extra_groups])))
     return groups, [*groups, *existing(joined, DEPTH_KEYS), "observation"]
 
 
@@ -187,9 +227,11 @@ def _chance_columns(p: Column, y: Column) -> dict[str, Column]:
     }
 
 
-def score_in_rows(joined: DataFrame, summaries: bool = True) -> DataFrame:
+def score_in_rows(
+    joined: DataFrame, summaries: bool = True, extra_groups: Sequence[str] = ()
+) -> DataFrame:
     """Score ensembles that fit in a row: one aggregate, then array expressions."""
-    groups, keys = _group_keys(joined)
+    groups, keys = _group_keys(joined, extra_groups)
     members = joined.groupBy(*keys).agg(
         F.sort_array(F.collect_list("prediction")).alias("xs"),
         F.avg("prediction").alias("mean"),
@@ -216,16 +258,20 @@ def score_in_rows(joined: DataFrame, summaries: bool = True) -> DataFrame:
     return _finish(scored, groups, summaries)
 
 
-def score_probabilities(joined: DataFrame, summaries: bool = True) -> DataFrame:
+def score_probabilities(
+    joined: DataFrame, summaries: bool = True, extra_groups: Sequence[str] = ()
+) -> DataFrame:
     """Score event probabilities: one probability per group, whatever its copies."""
-    groups, keys = _group_keys(joined)
+    groups, keys = _group_keys(joined, extra_groups)
     p = joined.groupBy(*keys).agg(F.min("prediction").alias("_p"))
     return _finish(p.withColumns(_chance_columns(F.col("_p"), F.col("observation"))), groups, summaries)
 
 
-def score_by_rank(joined: DataFrame, summaries: bool = True) -> DataFrame:
+def score_by_rank(
+    joined: DataFrame, summaries: bool = True, extra_groups: Sequence[str] = ()
+) -> DataFrame:
     """Score ensembles of any size from ranked values, with partial aggregates only."""
-    groups, keys = _group_keys(joined)
+    groups, keys = _group_keys(joined, extra_groups)
     ranked = ranked_values(joined, keys, "prediction")
     spread = joined.groupBy(*keys).agg(
         F.avg("prediction").alias("mean"), F.stddev_samp("prediction").alias("sd")

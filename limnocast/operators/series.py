@@ -4,6 +4,7 @@ Two ideas keep these jobs flat at any length of series. A gap is filled by explo
 the sample before it up to the next one, so only the samples are shuffled and sorted,
 never the dense grid. And a series is cut into blocks of time: windows run
 inside a block, and one small row per block carries the values across block borders.
+A null key, say a series without a family, is a key like any other.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from limnocast.functions.keys import DAY, HOUR, epoch, time_like
+from limnocast.operators.joins import join_null_safe
 from limnocast.schemas import FLUX_VARIABLES, STATE_VARIABLES
 from limnocast.session import checkpointed
 
@@ -39,23 +41,26 @@ def _samples(met: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def summarise(met: DataFrame, scope: Sequence[str] = ("site_id",)) -> DataFrame:
-    """One row per series and block of time: its ends, first known sample and row count.
+    """One row per series and block of time: its ends and its first known sample.
 
-    Scalar aggregates in one pass, combined before the shuffle. The summary is about a
-    seven-hundredth of an hourly archive and every step of the gridding needs it, so it
-    is written out once.
+    Of copies of that sample which differ the largest counts, as everywhere. One pass, combined
+    before the shuffle. The summary is about a seven-hundredth of an hourly archive and
+    every step of the gridding needs it, so it is written out once.
     """
     keys = _merge(scope, SERIES)
-    known_t = F.when(F.col("prediction").isNotNull(), F.col("t"))
+    known = F.when(F.col("prediction").isNotNull(), F.struct("t", (-F.col("prediction")).alias("less")))
     return checkpointed(
         _samples(met, keys)
         .groupBy(*keys, "phase", "block")
-        .agg(
-            F.min("t").alias("t_min"),
-            F.max("t").alias("t_max"),
-            F.min(known_t).alias("first_t"),
-            F.min_by("prediction", known_t).alias("first_value"),
-            F.count(F.lit(1)).alias("n_rows"),
+        .agg(F.min("t").alias("t_min"), F.max("t").alias("t_max"), F.min(known).alias("first"))
+        .select(
+            *keys,
+            "phase",
+            "block",
+            "t_min",
+            "t_max",
+            F.col("first.t").alias("first_t"),
+            (-F.col("first.less")).alias("first_value"),
         )
     )
 
@@ -72,7 +77,7 @@ def _spans(blocks: DataFrame, scope: Sequence[str], variables: Sequence[str]) ->
     starts = blocks.groupBy(*scope).agg(
         F.min("t_min").alias("start"), F.collect_set(listed).alias("variables")
     )
-    return ends.join(starts, list(scope)).select(
+    return join_null_safe(ends, starts, list(scope)).select(
         *member, F.explode("variables").alias("variable"), "start", "end"
     )
 
@@ -120,11 +125,8 @@ def densify(
     samples = _samples(met, keys).where(
         F.col("prediction").isNotNull() & F.col("variable").isin(*fills)
     )
-    if not blocks.where(F.col("n_rows") > BLOCK_SECONDS // HOUR).isEmpty():
-        # More rows in a block than it has hours: collapse the copies before they travel.
-        samples = samples.groupBy(*keys, "t", "phase", "block").agg(
-            F.max("prediction").alias("prediction")
-        )
+    # One value per series and time; copies collapse before they travel.
+    samples = samples.groupBy(*keys, "t", "phase", "block").agg(F.max("prediction").alias("prediction"))
 
     by_series = Window.partitionBy(*keys).orderBy("block")
     known = (
@@ -137,7 +139,7 @@ def densify(
                 "first_known"
             ),
         )
-        .join(spans, keys)
+        .transform(lambda d: join_null_safe(d, spans, keys))
         .where(F.col("phase") == F.pmod("start", F.lit(HOUR)))
         .withColumns(
             {
@@ -149,9 +151,7 @@ def densify(
 
     # Hours before the first sample, or all hours of a series without any.
     heads = (
-        spans.join(
-            known.where(F.col("nth") == 1).select(*keys, "first_known"), keys, "left"
-        )
+        join_null_safe(spans, known.where(F.col("nth") == 1).select(*keys, "first_known"), keys, "left")
         .withColumn("hours", _hours_until(F.col("start"), F.col("first_known.t"), F.col("end")))
         .select(
             *keys,
@@ -165,9 +165,10 @@ def densify(
     )
 
     # Every sample covers the hours up to the next one.
-    in_block = Window.partitionBy(*keys, "phase", "block").orderBy("t", "prediction")
+    in_block = Window.partitionBy(*keys, "phase", "block").orderBy("t")
+    place = [*keys, "phase", "block"]
     body = (
-        samples.join(known.select(*keys, "phase", "block", "next_known", "end"), [*keys, "phase", "block"])
+        join_null_safe(samples, known.select(*place, "next_known", "end"), place)
         .withColumn(
             "next", F.coalesce(F.lead(F.struct("t", "prediction")).over(in_block), F.col("next_known"))
         )
@@ -247,7 +248,7 @@ def fill_down_up(
     down = F.last(value, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
     up = F.first(value, ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
     return (
-        cut.join(carry, [*keys, "_block"], "left")
+        join_null_safe(cut, carry, [*keys, "_block"], "left")
         .withColumn(value, F.coalesce(down, F.col("_before"), up, F.col("_after")))
         .select(*df.columns)
     )
@@ -263,7 +264,7 @@ def median_step(
         *keys, "_block", F.lag("_last").over(over).alias("_before")
     )
     inside = Window.partitionBy(*keys, "_block").orderBy("_t")
-    steps = cut.join(carry, [*keys, "_block"]).withColumn(
+    steps = join_null_safe(cut, carry, [*keys, "_block"]).withColumn(
         "step", (F.col("_t") - F.coalesce(F.lag("_t").over(inside), F.col("_before"))) / F.lit(3600.0)
     )
     return steps.groupBy(*keys).agg(F.median("step").alias("step_hours"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from limnocast.functions.keys import existing
 from limnocast.functions.water import Hypsography
-from limnocast.operators.profiles import METRICS, mixing_probability, profile_metrics
+from limnocast.operators.profiles import METRICS, PROFILE_KEY, mixing_probability, profile_metrics
 from limnocast.operators.reshape import append, melt
 from limnocast.schemas import FORECAST_PARTITIONS, with_constants
 from limnocast.sources.readers import read_forecasts
@@ -17,9 +18,9 @@ MIXED = "prob_mixed_density"
 
 def _as_archive(rows: DataFrame, like: DataFrame, **constants) -> DataFrame:
     """Add the constant columns and conform to the columns and types of ``like``."""
-    full = with_constants(rows, **constants).withColumn(
-        "reference_date", F.date_format("reference_datetime", "yyyy-MM-dd")
-    )
+    full = with_constants(rows, **constants)
+    if "reference_date" not in full.columns:
+        full = full.withColumn("reference_date", F.date_format("reference_datetime", "yyyy-MM-dd"))
     have = set(full.columns)
     return full.select(
         *[
@@ -29,10 +30,15 @@ def _as_archive(rows: DataFrame, like: DataFrame, **constants) -> DataFrame:
     )
 
 
+def _keys(forecasts: DataFrame) -> list[str]:
+    """What tells profiles apart, and the partition that their derived rows belong to."""
+    return existing(forecasts, [*PROFILE_KEY, "reference_date"])
+
+
 def mixing_rows(forecasts: DataFrame, top=0.5, bottom=5.0, threshold=0.1) -> DataFrame:
     """Mixing probability as archive rows of family ``bernoulli``."""
     return _as_archive(
-        mixing_probability(forecasts, top, bottom, threshold),
+        mixing_probability(forecasts, top, bottom, threshold, _keys(forecasts)),
         forecasts,
         family="bernoulli",
         parameter="prob",
@@ -44,7 +50,7 @@ def mixing_rows(forecasts: DataFrame, top=0.5, bottom=5.0, threshold=0.1) -> Dat
 
 def metric_rows(forecasts: DataFrame, hypsography: Hypsography, **options) -> DataFrame:
     """Profile diagnostics as archive rows, one per metric and member."""
-    wide = profile_metrics(forecasts, hypsography, **options)
+    wide = profile_metrics(forecasts, hypsography, keys=_keys(forecasts), **options)
     return _as_archive(
         melt(wide, METRICS, drop_nulls=False),
         forecasts,

@@ -15,8 +15,8 @@ from limnocast.operators.grids import (
     nearest_issues,
     replicate_members,
 )
-from limnocast.operators.joins import keep_latest
-from limnocast.operators.reshape import date_trim, melt
+from limnocast.operators.joins import join_null_safe, keep_latest
+from limnocast.operators.reshape import between_days, date_trim, melt
 from limnocast.operators.series import (
     FILLS,
     MEMBER,
@@ -25,6 +25,7 @@ from limnocast.operators.series import (
     densify,
     fill_down_up,
     first_gap,
+    missing_dates,
     missing_hours,
     summarise,
 )
@@ -33,13 +34,14 @@ from limnocast.schemas import (
     LONGWAVE,
     PRECIPITATION,
     SHORTWAVE,
+    STAGE2_SCHEMA,
     STAGE3_PARTITIONS,
     VARIABLE_NAMES,
     with_constants,
 )
 from limnocast.session import checkpointed
-from limnocast.sources.readers import read_member_files, read_met
-from limnocast.sources.writers import rewrite_partitions
+from limnocast.sources.readers import read_member_files, read_met, read_or_empty, stored_dates
+from limnocast.sources.writers import STAGE3_ORDER, rewrite_partitions, write_stage2
 
 KELVIN_SHIFT = 273.0
 
@@ -99,19 +101,24 @@ def downscale_shortwave(
     )
 
 
-def flux_coverage(met: DataFrame) -> DataFrame:
-    """Known values per flux variable, and whether it is missing or empty."""
-    spark = met.sparkSession
-    expected = spark.range(1).select(
-        F.explode(F.array(*[F.lit(v) for v in FLUX_VARIABLES])).alias("variable")
+def flux_coverage(met: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Known values per flux variable, and whether it is missing or empty.
+
+    Without ``scope`` over all rows together, else for each of its keys, ``site_id`` for instance.
+    """
+    scope = list(scope)
+    groups = met.select(*scope).distinct() if scope else met.sparkSession.range(1)
+    expected = groups.select(
+        *scope, F.explode(F.array(*[F.lit(v) for v in FLUX_VARIABLES])).alias("variable")
     )
     held = (
         met.where(F.col("variable").isin(*FLUX_VARIABLES))
-        .groupBy("variable")
+        .groupBy(*scope, "variable")
         .agg(F.count("prediction").alias("known"))
     )
-    joined = expected.join(held, "variable", "left")
+    joined = join_null_safe(expected, held, [*scope, "variable"], "left")
     return joined.select(
+        *scope,
         "variable",
         F.coalesce("known", F.lit(0)).alias("known"),
         F.col("known").isNull().alias("missing"),
@@ -127,7 +134,7 @@ def air_temperature_beside(met: DataFrame, rows: DataFrame) -> DataFrame:
         .groupBy(*keys)
         .agg(F.max("prediction").alias("air_temperature"))
     )
-    return rows.join(air, keys, "left")
+    return join_null_safe(rows, air, keys, "left")
 
 
 def repair_fluxes(met: DataFrame, lon: float, lat: float, step_hours: float = 0.0) -> DataFrame:
@@ -157,12 +164,26 @@ def repair_fluxes(met: DataFrame, lon: float, lat: float, step_hours: float = 0.
 
 
 def normalise_history(met: DataFrame, lon: float, lat: float) -> DataFrame:
-    """Bring stored history to hourly steps and repair its fluxes, each only when needed."""
-    coarse = not first_gap(met).where("needs_hourly").isEmpty()
-    broken = not flux_coverage(met).where("empty").isEmpty()
-    if coarse:
-        met = to_hourly(met, lon, lat, kelvin_shift=0.0).select(*met.columns)
-    return repair_fluxes(met, lon, lat) if broken else met
+    """Bring each site's stored history to hourly steps and repair its fluxes, each only where needed.
+
+    The two tests are made per site, and only the sites that fail one go through its remedy.
+    """
+    site = ["site_id"]
+    coarse = checkpointed(first_gap(met).where("needs_hourly").select(*site))
+    broken = checkpointed(flux_coverage(met, site).where("empty").select(*site).distinct())
+    if not coarse.isEmpty():
+        hourly = to_hourly(join_null_safe(met, coarse, site, "left_semi"), lon, lat, kelvin_shift=0.0)
+        met = join_null_safe(met, coarse, site, "left_anti").unionByName(hourly.select(*met.columns))
+    if not broken.isEmpty():
+        repaired = repair_fluxes(join_null_safe(met, broken, site, "left_semi"), lon, lat)
+        met = join_null_safe(met, broken, site, "left_anti").unionByName(repaired)
+    return met
+
+
+def normalise_history_archive(spark: SparkSession, path: str, site_id: str, lon: float, lat: float) -> None:
+    """``normalise_history`` of one site of a stored archive, in place; a site not stored is left so."""
+    stored = read_met(spark, path).where(F.col("site_id") == site_id)
+    rewrite_partitions(normalise_history(stored, lon, lat), path, STAGE3_PARTITIONS, STAGE3_ORDER)
 
 
 def _grid_to_long(grid: DataFrame, names: dict[str, str], site_id: str) -> DataFrame:
@@ -250,7 +271,10 @@ def update_history(
     if first is None:
         return existing
     fresh = history_drivers(grid, site_id, lon, lat, first, last, members, **options)
-    return merge_history(existing, fresh)
+    # Only these days of the site can change; all other rows pass through unmoved.
+    days = date_trim(stored, first, last)
+    rest = existing.where(~F.coalesce((F.col("site_id") == site_id) & between_days(existing, first, last), F.lit(False)))
+    return rest.unionByName(merge_history(days, fresh))
 
 
 def update_history_archive(
@@ -259,10 +283,38 @@ def update_history_archive(
     """``update_history`` on a stored archive, replacing the site's partition."""
     stored = read_met(spark, path).where(F.col("site_id") == site_id)
     rewrite_partitions(
-        update_history(stored, grid, site_id, *args, **options), path, STAGE3_PARTITIONS
+        update_history(stored, grid, site_id, *args, **options), path, STAGE3_PARTITIONS, STAGE3_ORDER
     )
 
 
+def update_forecast_archive(
+    spark: SparkSession,
+    path: str,
+    grid: DataFrame,
+    site_id: str,
+    lon: float,
+    lat: float,
+    start: str,
+    end: str,
+    **options,
+) -> list[str]:
+    """Add the issue dates of ``start`` to ``end`` that a stored forecast archive lacks; returns them.
+
+    Drivers are built for the stretches of lacking dates only, and dates already stored keep their files.
+    """
+    stored = stored_dates(read_or_empty(spark, path, STAGE2_SCHEMA), site_id)
+    lacking = missing_dates(stored, "reference_datetime", start, end)
+    # One date per day asked for.
+    days = sorted(r[0] for r in lacking.collect())
+    if not days:
+        return []
+    fresh = forecast_drivers(grid, site_id, lon, lat, days[0].isoformat(), days[-1].isoformat(), **options)
+    issued = F.to_date("reference_datetime")
+    chosen = checkpointed(fresh.where(issued.isin(days)).withColumn("reference_datetime", issued))
+    write_stage2(chosen, path)
+    return [d.isoformat() for d in sorted(r[0] for r in chosen.select("reference_datetime").distinct().collect())]
+
+
 def member_rows(
     wide: DataFrame,
     model_id: str,

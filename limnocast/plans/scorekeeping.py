@@ -13,7 +13,7 @@ from limnocast.operators.reshape import archive_slice, scoreable
 from limnocast.operators.scoring import merge_scores, score_forecasts, still_valid
 from limnocast.schemas import SCORE_PARTITIONS, SCORE_SCHEMA, conform
 from limnocast.session import checkpointed
-from limnocast.sources.readers import read_forecasts, read_scores, read_targets
+from limnocast.sources.readers import read_forecasts, read_or_empty, read_scores, read_targets
 from limnocast.sources.writers import rewrite_partitions
 
 
@@ -26,6 +26,7 @@ def score_incremental(
     absolute: bool = False,
     summaries: bool = True,
     hot_rows: int = HOT_ROWS,
+    extra_groups: Sequence[str] = (),
 ) -> DataFrame:
     """Scores of the forecasts that have an observation and no valid score yet.
 
@@ -33,7 +34,7 @@ def score_incremental(
     """
     if scores is not None and rescore:
         scores = still_valid(scores, targets, tolerance, absolute)
-    return score_forecasts(scoreable(forecasts, targets), targets, summaries, hot_rows, scores)
+    return score_forecasts(scoreable(forecasts, targets), targets, summaries, hot_rows, scores, extra_groups)
 
 
 def update_scores(
@@ -48,7 +49,8 @@ def update_scores(
     """Score what is new and merge it into the score archive.
 
     Only the (site, variable, model) partitions that gain a score are read back and
-    replaced. New scores are written out once, since both steps use them.
+    replaced, with all they hold, rows without an observation included. New scores are written out
+    once, since both steps use them.
     """
     forecasts = read_forecasts(spark, forecasts_path).withColumn("duration", F.lit(duration))
     targets = read_targets(spark, targets_path)
@@ -56,20 +58,34 @@ def update_scores(
     new = checkpointed(
         conform(score_incremental(forecasts, targets, stored, **options), SCORE_SCHEMA)
     )
-    touched = stored.join(new.select(*SCORE_PARTITIONS).distinct(), SCORE_PARTITIONS, "left_semi")
+    touched = touched_partitions(read_or_empty(spark, scores_path, SCORE_SCHEMA), new)
     rewrite_partitions(merge_scores(touched, new, latest_only), scores_path, SCORE_PARTITIONS)
 
 
+def touched_partitions(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of the stored partitions that ``new`` has rows for; the scan opens no others.
+
+    The driver gets one row per partition touched, and asks for those partitions by value.
+    """
+    groups = new.select(*SCORE_PARTITIONS).distinct().collect()
+    if not groups:
+        return stored.limit(0)
+    for column in SCORE_PARTITIONS:
+        stored = stored.where(F.col(column).isin(sorted({g[column] for g in groups if g[column] is not None})))
+    return stored.join(new.select(*SCORE_PARTITIONS).distinct(), SCORE_PARTITIONS, "left_semi")
+
+
 def score_batch(
     forecasts: DataFrame,
     targets: DataFrame,
     variable_types: Sequence[str] = ("state",),
     hot_rows: int = HOT_ROWS,
+    extra_groups: Sequence[str] = (),
 ) -> DataFrame:
     """Scores of one run's variables of the given types, with horizon and issue date."""
     chosen = archive_slice(forecasts, variable_types=variable_types)
     issued = F.col("reference_datetime")
-    return score_forecasts(chosen, targets, True, hot_rows).withColumns(
+    return score_forecasts(chosen, targets, True, hot_rows, None, extra_groups).withColumns(
         {
             "horizon": horizon_fraction(issued, F.col("datetime")),
             "reference_date": F.date_format(issued, "yyyy-MM-dd"),

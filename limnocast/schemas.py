@@ -70,6 +70,8 @@ MET_SCHEMA = _struct(
     prediction=T.DoubleType(),
 )
 
+STAGE2_SCHEMA = T.StructType([*MET_SCHEMA.fields, T.StructField("reference_datetime", T.DateType())])
+
 FORECAST_PARTITIONS = ["site_id", "model_id", "reference_date"]
 SCORE_PARTITIONS = ["site_id", "variable", "model_id"]
 STAGE2_PARTITIONS = ["reference_datetime", "site_id"]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,19 +47,35 @@ def read_met(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, MET_SCHEMA)
 
 
-def read_targets(spark: SparkSession, path: str) -> DataFrame:
-    """Observations from CSV, ``NA`` as null, null observations dropped."""
-    rows = spark.read.schema(TARGET_SCHEMA).csv(
-        path, header=True, nullValue="NA", enforceSchema=False
-    )
-    return with_observation(rows)
+def read_by_name(
+    spark: SparkSession, path: str, schema: T.StructType, extra: Sequence[str] = ()
+) -> DataFrame:
+    """CSV columns picked by the names in the header, in any order, and cast to ``schema``.
+
+    ``extra`` names further columns to keep, as text, where the file has them. A column the file lacks is null,
+    and so is ``NA``, an empty field and what cannot be cast. Files whose headers disagree are an error.
+    """
+    text = spark.read.csv(path, header=True, nullValue="NA", enforceSchema=False)
+
+    def column(name: str, kind: T.DataType) -> Column:
+        if name not in text.columns:
+            return F.lit(None).cast(kind).alias(name)
+        return F.nullif(F.col(f"`{name}`"), F.lit("")).try_cast(kind).alias(name)
+
+    more = [c for c in extra if c in text.columns and c not in schema.names]
+    return text.select(*[column(f.name, f.dataType) for f in schema.fields], *[column(c, T.StringType()) for c in more])
+
+
+def read_targets(spark: SparkSession, path: str, extra: Sequence[str] = ()) -> DataFrame:
+    """Observations from CSV, ``NA`` as null, null observations dropped; see ``read_by_name``."""
+    return with_observation(read_by_name(spark, path, TARGET_SCHEMA, extra))
 
 
 def with_observation(targets: DataFrame) -> DataFrame:
     return targets.where(F.col("observation").isNotNull())
 
 
-def read_raw_observations(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_observations(spark: SparkSession, path: str, extra: Sequence[str] = ()) -> DataFrame:
     """Raw observation CSV: every column text but depth and observation."""
     schema = T.StructType(
         [
@@ -65,7 +83,7 @@ def read_raw_observations(spark: SparkSession, path: str) -> DataFrame:
             for f in TARGET_SCHEMA.fields
         ]
     )
-    return spark.read.schema(schema).csv(path, header=True, nullValue="NA", enforceSchema=False)
+    return read_by_name(spark, path, schema, extra)
 
 
 def normalise_targets(raw: DataFrame, kind: str = "timestamp") -> DataFrame:
@@ -81,7 +99,8 @@ def normalise_targets(raw: DataFrame, kind: str = "timestamp") -> DataFrame:
 def read_member_files(spark: SparkSession, folder: str, model: str) -> DataFrame:
     """Wide weather files of all members, ``met_<model>_<member>.csv``, member from the name.
 
-    One distributed read of the set. No matching file gives no rows.
+    One distributed read of the set. No matching file gives no rows, and files whose headers disagree are an error
+    when they are read, so no column is taken for another.
     """
     prefix = f"met_{model}_"
     schema = T.StructType(
@@ -94,7 +113,7 @@ def read_member_files(spark: SparkSession, folder: str, model: str) -> DataFrame
     out = T.StructType([*schema.fields, T.StructField("parameter", T.StringType())])
     pattern = f"{folder.rstrip('/')}/{prefix}*.csv"
     try:
-        text = spark.read.csv(pattern, header=True, nullValue="NA")
+        text = spark.read.csv(pattern, header=True, nullValue="NA", enforceSchema=False)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], out)
@@ -106,7 +125,7 @@ def read_member_files(spark: SparkSession, folder: str, model: str) -> DataFrame
 
 
 def stored_dates(archive: DataFrame, site_id: str) -> DataFrame:
-    """Issue dates an archive already holds for a site; reads partition values only."""
+    """Issue dates an archive already holds for a site, by a scan that reads no data column."""
     return (
         archive.where(F.col("site_id") == site_id)
         .select(F.to_date("reference_datetime").alias("reference_datetime"))

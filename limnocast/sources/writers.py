@@ -15,6 +15,8 @@ from limnocast.schemas import (
 )
 from limnocast.session import checkpointed
 
+STAGE3_ORDER = ["datetime", "family", "parameter", "variable"]
+
 
 def write_partitions(
     df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str] = ()
@@ -55,15 +57,15 @@ def write_stage2(df: DataFrame, path: str) -> None:
 
 def write_stage3(df: DataFrame, path: str) -> None:
     """History drivers per site, sorted inside each file."""
-    write_partitions(df, path, STAGE3_PARTITIONS, ["datetime", "family", "parameter", "variable"])
+    write_partitions(df, path, STAGE3_PARTITIONS, STAGE3_ORDER)
 
 
-def rewrite_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+def rewrite_partitions(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str] = ()) -> None:
     """Replace partitions of the archive that ``df`` itself was read from.
 
     The result is written out in full before any partition is touched.
     """
-    write_partitions(checkpointed(df), path, partitions)
+    write_partitions(checkpointed(df), path, partitions, order)
 
 
 def write_targets(df: DataFrame, path: str) -> None:

@@ -226,7 +226,7 @@ def test_dashboard_tables(spark):
     assert tables["kpi_mixed"].first()["value"] == 0.0
     horizon = tables["kpi_horizon"].first()
     # Half a day rounds to the even number of days, none.
-    assert horizon["horizon_days"] == 0 and horizon["issued"] == "Jan 02, 2024 01:00"
+    assert horizon["horizon_days"] == 0 and horizon["issued"] == "Jan 02, 2024 01:00 CET"
     assert tables["date_axis"].count() == 0
 
 
