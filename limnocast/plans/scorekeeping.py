@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limnocast.functions.keys import horizon_fraction
+from limnocast.operators.joins import join_null_safe
 from limnocast.operators.ranking import HOT_ROWS
 from limnocast.operators.reshape import archive_slice, scoreable
 from limnocast.operators.scoring import merge_scores, score_forecasts, still_valid
@@ -67,12 +68,15 @@ def touched_partitions(stored: DataFrame, new: DataFrame) -> DataFrame:
 
     The driver gets one row per partition touched, and asks for those partitions by value.
     """
-    groups = new.select(*SCORE_PARTITIONS).distinct().collect()
+    touched = new.select(*SCORE_PARTITIONS).distinct()
+    groups = touched.collect()
     if not groups:
         return stored.limit(0)
     for column in SCORE_PARTITIONS:
-        stored = stored.where(F.col(column).isin(sorted({g[column] for g in groups if g[column] is not None})))
-    return stored.join(new.select(*SCORE_PARTITIONS).distinct(), SCORE_PARTITIONS, "left_semi")
+        values = {g[column] for g in groups}
+        wanted = F.col(column).isin(sorted(values - {None}))
+        stored = stored.where(wanted | F.col(column).isNull() if None in values else wanted)
+    return join_null_safe(stored, touched, SCORE_PARTITIONS, "left_semi")
 
 
 def score_batch(
