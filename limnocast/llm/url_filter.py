@@ -1,4 +1,4 @@
-"""URL verdicts from rules, and from a tree of path templates where no rule fits."""
+"""URL verdicts from rules, and from trees of path templates, of hosts and of their parent domains, where no rule fits."""
 
 from __future__ import annotations
 
@@ -45,6 +45,15 @@ def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]
     return text, verdict
 
 
+def _counts() -> list[Column]:
+    bad = F.coalesce(F.sum("label"), F.lit(0)).alias("bad")
+    return [F.count("*").alias("pages"), F.count("label").alias("labelled"), bad]
+
+
+def _sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in ("pages", "labelled", "bad")]
+
+
 def _segments(path: Column, depth: int) -> Column:
     """The path's segments with runs of digits and hex ids made general, and the tail beyond ``depth`` as one."""
     parts = F.filter(F.split(path, "/"), lambda x: x != "")
@@ -60,7 +69,7 @@ def _segments(path: Column, depth: int) -> Column:
 def _branches(tree: DataFrame, level: int, children: int, rare_share: float, z_same: float) -> DataFrame:
     """``(host, prefix, child, branch)``: the branch that each child at ``level`` of the tree belongs to."""
     node = ["host", "prefix"]
-    sums = [F.sum(c).alias(c) for c in ("pages", "labelled", "bad")]
+    sums = _sums()
     child = tree.withColumn("child", F.coalesce(F.get("segments", level), F.lit("")))
     kids = child.groupBy(*node, "child").agg(*sums)
     whole = kids.groupBy(*node).agg(F.count("*").alias("kinds"), F.sum("pages").alias("total"))
@@ -92,11 +101,14 @@ def templates(
     ``labelled`` and ``bad`` count the pages of the whole template.
     """
     general = pages.select("host", _segments(F.col("path"), depth).alias("segments"), "label")
-    tree = checkpointed(
-        general.groupBy("host", "segments").agg(
-            F.count("*").alias("pages"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad")
-        )
-    ).withColumn("prefix", F.lit(""))
+    return _grow(general.groupBy("host", "segments").agg(*_counts()), depth, children, rare_share, z_same)
+
+
+def _grow(
+    counted: DataFrame, depth: int, children: int = CHILDREN, rare_share: float = RARE_SHARE, z_same: float = Z_SAME
+) -> DataFrame:
+    """The templates of ``counted(host, segments, pages, labelled, bad)``, a row for each general path of a host or domain."""
+    tree = checkpointed(counted).withColumn("prefix", F.lit(""))
     for level in range(depth + 1):
         if tree.where(F.size("segments") > level).isEmpty():
             break
@@ -109,6 +121,40 @@ def templates(
     return tree.select("host", "prefix", "segments").join(total, ["host", "prefix"]).withColumnRenamed("prefix", "template")
 
 
+def _domains(host: Column) -> Column:
+    """The domains above a host, nearest first, each with a dot before it: ``.b.c`` and ``.c`` of ``a.b.c``."""
+    parts = F.split(host, r"\.")
+    above = F.transform(
+        F.sequence(F.lit(2), F.greatest(F.size(parts), F.lit(2))),
+        lambda n: F.concat(F.lit("."), F.array_join(F.slice(parts, n, F.size(parts)), ".")),
+    )
+    return F.when(F.size(parts) > 1, above).otherwise(F.array().cast("array<string>"))
+
+
+def evidence(pages: DataFrame, depth: int = DEPTH, least_labelled: int = LEAST_LABELLED) -> DataFrame:
+    """``(host, segments, template, labelled, bad, source)``: what speaks for each general path of ``pages(host, path, label)``.
+
+    A host's own template speaks if ``least_labelled`` of its pages are labelled; else that of the nearest domain
+    above it with so many, in a tree over all hosts of that domain; else the host's own. ``template`` is always the host's
+    own, ``source`` the host or domain (with a dot before it) that speaks. Nothing is shared beyond the last label of a host.
+    """
+    general = pages.select("host", _segments(F.col("path"), depth).alias("segments"), "label")
+    # Equal paths collapse before they are copied to the domains, so a hot host costs one row for each path.
+    counted = checkpointed(general.groupBy("host", "segments").agg(*_counts()))
+    copies = counted.withColumn("host", F.explode(F.concat(F.array("host"), _domains(F.col("host")))))
+    known = checkpointed(_grow(copies.groupBy("host", "segments").agg(*_sums()), depth))
+    own = counted.select("host", "segments").join(known, ["host", "segments"])
+    weak = own.where(F.col("labelled") < least_labelled)
+    above = weak.select("host", "segments", F.posexplode(_domains(F.col("host"))).alias("up", "source"))
+    strong = known.where(F.col("labelled") >= least_labelled).select(F.col("host").alias("source"), "segments", "labelled", "bad")
+    near = above.join(strong, ["source", "segments"]).groupBy("host", "segments")
+    near = near.agg(F.min(F.struct("up", "source", "labelled", "bad")).alias("near"))
+    return own.join(near, ["host", "segments"], "left").select(
+        "host", "segments", "template", *(F.coalesce(f"near.{c}", c).alias(c) for c in ("labelled", "bad")),
+        F.coalesce("near.source", "host").alias("source"),
+    )
+
+
 def judge(
     pages: DataFrame,
     rules: tuple[tuple[str, str, str], ...] = RULES,
@@ -122,8 +168,9 @@ def judge(
 ) -> DataFrame:
     """``(page_id, host, path, rule, verdict, template, purity)`` for each row of ``pages``.
 
-    The longest rule that fits decides. Elsewhere the page's template does: it is blocked if enough of its pages
-    are labelled and their smoothed share of bad ones reaches ``purity``, else allowed. Labels are those of
+    The longest rule that fits decides. Elsewhere the page's template does, or, where too few of its pages are labelled, that of
+    the nearest domain above its host (see ``evidence``): the page is blocked if enough pages are labelled and their
+    smoothed share of bad ones, ``purity``, reaches the bound, else allowed. Labels are those of
     ``labels(page_id, bad)``, or, without it, the verdicts of the rules on the pages that they decide. A null URL, or one
     without ``://``, has an empty host and path. Null labels and ids of labels are ignored; a page with several labels
     counts as bad if any says so. Repeated rows each get a row. An empty table gives an empty result.
@@ -137,7 +184,7 @@ def judge(
     else:
         marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
         parsed = parsed.join(marks.agg(F.max(F.col("bad").cast("long")).alias("label")), "id", "left")
-    known = templates(parsed.select("host", "path", "label"), depth)
+    known = evidence(parsed.select("host", "path", "label"), depth, least_labelled)
     mean = parsed.agg((F.sum("label") / F.count("label")).alias("mean"))
     average = F.coalesce(F.lit(mean.head()[0]).cast("double"), F.lit(0.0))
     judged = parsed.withColumn("segments", _segments(F.col("path"), depth)).join(known, ["host", "segments"])

@@ -136,3 +136,19 @@ def test_repeats_nulls_and_empty(spark):
 def test_depth(spark, depth):
     frame = spark.createDataFrame([(1, "http://a.org/x/y/z")], "page_id long, url string")
     assert judge(frame, depth=depth).head().template == "/" + "/".join([*"xy"[:depth], "**"])
+
+
+def test_evidence_reaches_sibling_hosts(spark):
+    rows, marks = [], []
+    for i in range(40):
+        rows += [(i, f"http://h{i}.bad.org/ads/{i}"), (100 + i, f"http://h{i}.good.org/ads/{i}")]
+        marks += [(i, 1), (100 + i, 0)]
+    rows += [(200, "http://new.bad.org/ads/7"), (201, "http://new.good.org/ads/7"), (202, "http://x.other.org/ads/7"), (203, "http://x.bad.net/ads/7")]
+    rows += [(300 + i, f"http://own.bad.org/ads/{i}") for i in range(9)]
+    marks += [(300 + i, 0) for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r for r in judge(pages, (), spark.createDataFrame(marks, "page_id long, bad int"), smoothing=1.0, purity=0.8).collect()}
+    assert len(got) == len(rows)
+    # No label on the host: its siblings speak; a host with labels of its own speaks for itself, and no other top domain does.
+    assert [got[i].verdict for i in (200, 201, 202, 203, 308)] == ["block", "allow", "allow", "allow", "allow"]
+    assert got[203].purity == pytest.approx(40 / 88) and got[308].purity < 0.1
