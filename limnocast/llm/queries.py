@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from limnocast.llm import embedding_dups
 from limnocast.llm.common import ready, table
+from limnocast.llm.hard_negatives import hard_negatives
 from limnocast.llm.language_id import identify
 from limnocast.llm.licenses import FILE_COSINE, LINE_COSINE, TEMPLATES, scan
 from limnocast.llm.nearest import nearest
@@ -166,3 +167,33 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licence of every document by its notices or its directory, ``source/lang``."""
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return scan(table(spark, sf_dir, "documents"), path)
+
+
+_ROWS = """WITH v AS (SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+@query(
+    "op13_hard_negatives",
+    f"""{_ROWS},
+    scored AS (SELECT a.r, a.vec_id AS anchor_id, a.label = c.label AS alike, c.vec_id,
+        list_sum(list_transform(list_zip(a.e, c.e), lambda x: x[1] * x[2]))::BIGINT AS score
+      FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.r <> c.r AND len(a.e) = len(c.e)),
+    positives AS (SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+      QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5),
+    numbered AS (SELECT *, row_number() OVER () AS p FROM positives),
+    ranked AS (SELECT p.anchor_id, p.positive_id,
+        row_number() OVER (PARTITION BY p.p ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+        n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+      FROM numbered p JOIN scored n ON p.r = n.r AND NOT n.alike
+        AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score)
+    SELECT * FROM ranked WHERE rank <= 10""",
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, a seventh of the labels moved on by one."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
