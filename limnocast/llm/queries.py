@@ -13,6 +13,7 @@ from limnocast.llm.common import ready, table
 from limnocast.llm.hard_negatives import hard_negatives
 from limnocast.llm.language_id import identify
 from limnocast.llm.licenses import FILE_COSINE, LINE_COSINE, TEMPLATES, scan
+from limnocast.llm.merkle import manifest
 from limnocast.llm.nearest import nearest
 from limnocast.llm.packing import pack_documents
 from limnocast.llm.quality import score_quality
@@ -197,3 +198,44 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def _manifest_sql() -> str:
+    def told(value: str) -> str:
+        text = f"({value})::VARCHAR"
+        return f"CASE WHEN {text} IS NULL THEN '-' ELSE strlen({text})::VARCHAR || ':' || {text} END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(told(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    # The checksum's lowest bit, before its final inversion.
+    codes = "[4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)"
+    step = "CASE WHEN u & 1 = 1 THEN xor(u >> 1, 3988292384::BIGINT) ELSE u >> 1 END"
+    crc = f"list_reduce({codes}, lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda u, z: {step}))"
+    grow = """SELECT lvl + 1, g, i // 3, sha256(string_agg(node, '' ORDER BY i)), (n + 2) // 3 FROM {0}
+      WHERE n > 1 GROUP BY lvl, g, i // 3, n"""
+    return f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce('+' || source, '') AS g, {leaf("text")} AS leaf,
+      CASE WHEN {crc} & 1 = 1 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS bad FROM documents),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+    tree AS (SELECT 0 AS lvl, g, i, leaf AS node, n FROM leaves UNION ALL {grow.format("tree")}),
+    subroots AS (SELECT g, node, row_number() OVER (ORDER BY encode(g)) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+    top AS (SELECT 0 AS lvl, '' AS g, i, node, n FROM subroots UNION ALL {grow.format("top")}),
+    runs AS (SELECT l.r, t.lvl, t.i, l.i // (3 ** t.lvl)::BIGINT AS own, t.node FROM leaves l JOIN tree t
+        ON l.g = t.g AND t.n > 1 AND t.i // 3 = l.i // (3 ** (t.lvl + 1))::BIGINT
+      UNION ALL SELECT l.r, 1000 + t.lvl, t.i, s.i // (3 ** t.lvl)::BIGINT, t.node FROM leaves l JOIN subroots s ON l.g = s.g JOIN top t
+        ON t.n > 1 AND t.i // 3 = s.i // (3 ** (t.lvl + 1))::BIGINT),
+    steps AS (SELECT r, lvl, coalesce(string_agg(node, '' ORDER BY i) FILTER (i < own), '') AS a,
+      coalesce(string_agg(node, '' ORDER BY i) FILTER (i > own), '') AS b FROM runs GROUP BY r, lvl),
+    paths AS (SELECT r, string_agg(a || b, '' ORDER BY lvl) AS sides, list(a || '|' || b ORDER BY lvl) AS each FROM steps GROUP BY r),
+    told AS (SELECT l.*, coalesce(p.sides, '') AS sides, list_reduce([l.bad] || coalesce(p.each, []), lambda x, y:
+      sha256(split_part(y, '|', 1) || x || split_part(y, '|', 2))) AS folded_root FROM leaves l LEFT JOIN paths p USING (r))
+    SELECT t.doc_id, t.leaf, s.node AS subroot, (SELECT node FROM top WHERE n = 1) AS root, sha256(t.sides) AS proof_sha256, t.folded_root,
+      t.folded_root = (SELECT node FROM top WHERE n = 1) AS verified, t.source, t.i AS place FROM told t JOIN subroots s USING (g)"""
+
+
+@query("op12_manifest", _manifest_sql())
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of all documents by source; half of the ids have lost their line ends since."""
+    struck = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    changed = {"text": F.when(struck, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    return manifest(table(spark, sf_dir, "documents"), changed=changed)
