@@ -17,6 +17,7 @@ from limnocast.llm.merkle import manifest
 from limnocast.llm.nearest import nearest
 from limnocast.llm.packing import pack_documents
 from limnocast.llm.quality import score_quality
+from limnocast.llm.secret_spans import ADDED, KINDS, find_secrets
 from limnocast.llm.sentence_pieces import encode_documents
 from limnocast.llm.sharding import shard
 from limnocast.llm.simhash import near_duplicates
@@ -170,6 +171,20 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"), path)
 
 
+@query("op11_secrets")
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of all documents: the spans of the patterns, and those that the random field adds."""
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    told = "transform({}, x -> concat_ws(':', x.kind, string(x.start), string(x.end)))"
+    base = f"filter(secrets, x -> x.kind <> '{ADDED}')"
+    return found.select(
+        "doc_id",
+        *(F.expr(f"bigint(size(filter(secrets, x -> x.kind = '{kind}')))").alias(f"n_{kind}") for kind in KINDS),
+        F.sha2(F.expr(f"array_join({told.format(base)}, ',')"), 256).alias("base_sha256"),
+        F.expr(f"array_join({told.format('secrets')}, ',')").alias("spans"),
+    )
+
+
 _ROWS = """WITH v AS (SELECT row_number() OVER () AS r, vec_id,
     CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
     list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
