@@ -1,6 +1,6 @@
 """A Merkle manifest of a corpus: a digest per row, a tree per group over the order of ids, a tree over the groups.
 
-The place of a leaf in its group is found by rank queries, not by sorting the leaves. Per group and run of 32,768 ids there is
+The place of a leaf in its group is found by rank queries, not by sorting the leaves. Per group and run of 4,096 ids there is
 a bitmap of the ids that occur, kept as its non-empty blocks of 512 bits with the number of ones in each. Ids that occur
 several times have bit planes: an id of multiplicity 5 stands in planes 0 and 2. The rank of an id is what the runs before
 hold (a directory of sums, as a tree of bounded fanout) and what its run holds below it (sums of blocks, and a
@@ -25,9 +25,9 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 ARITY, LEVELS = 3, 7
 SLOTS = ARITY**LEVELS
 #: Bits of an id within its bitmap, within a block of it, and per level of the directory of sums.
-RUN_BITS, BLOCK_BITS, FAN_BITS = 15, 9, 15
+RUN_BITS, BLOCK_BITS, FAN_BITS = 12, 9, 15
 #: The run of null ids, before all others.
-NULL_RUN = -(1 << 49)
+NULL_RUN = -(1 << 52)
 #: Hex digits of a digest by which leaves of one id are told apart first.
 PART_DIGITS = 3
 #: Rows in a result batch.
@@ -145,7 +145,7 @@ def ranked(classes: DataFrame) -> DataFrame:
 def summed(held: DataFrame) -> DataFrame:
     """``(part_of, run, before, total)``: what the runs before hold and what all hold, by a tree of bounded fanout."""
     levels, table = [], held.withColumnRenamed("run", "at")
-    # Three steps of the fanout leave at most 64 nodes of the 50 bits of a run.
+    # Three steps of the fanout leave at most 256 nodes of the 53 bits of a run.
     for _ in range(3):
         table = table.withColumn("above", F.shiftright("at", FAN_BITS))
         levels.append(table)
