@@ -406,7 +406,7 @@ def spans_of(text: str, tagger: Tagger) -> list[tuple[str, int, int]]:
 
 
 def _field(docs: DataFrame, train_docs: int, train_windows: int) -> Field:
-    """A field trained on a sample of ``docs(id, body)``: windows with the least hashes, at most so many of each kind."""
+    """A field trained on a sample by hash of ``docs(id, body)``, and of its windows about so many of each kind."""
     hashed = docs.withColumn("hash", F.xxhash64("id", "body", F.lit(3)))
     share = min(1.0, train_docs / max(1, docs.count()))
     sample = hashed.where(F.pmod("hash", F.lit(1 << 20)) < round(share * (1 << 20)))
@@ -425,8 +425,14 @@ def _field(docs: DataFrame, train_docs: int, train_windows: int) -> Field:
 
     schema = "hash long, secret boolean, keys array<array<int>>, words array<string>, tags array<int>, file array<int>"
     windows = checkpointed(sample.select("hash", "body").mapInArrow(run, schema))
-    order = ["hash", "words", "keys"]
-    picked = [r for side in (True, False) for r in windows.where(F.col("secret") == side).orderBy(*order).limit(train_windows).collect()]
+    # Copies of a text give one window; the driver gets about ``train_windows`` rows of bounded size on either side.
+    windows = windows.dropDuplicates(["hash", "secret", "words"])
+    sizes = {r["secret"]: r["n"] for r in windows.groupBy("secret").agg(F.count("*").alias("n")).collect()}
+    limit = {side: round(min(1.0, train_windows / n) * (1 << 20)) for side, n in sizes.items()}
+    chance = F.pmod(F.xxhash64("hash", "words", F.lit(9)), F.lit(1 << 20))
+    bound = F.when(F.col("secret"), limit.get(True, 0)).otherwise(limit.get(False, 0))
+    picked = windows.where(chance < bound).collect()
+    picked.sort(key=lambda r: (not r["secret"], r["hash"], r["words"], r["keys"]))
     return train([Window([tuple(k) for k in r["keys"]], r["words"], r["tags"], tuple(r["file"])) for r in picked])
 
 
