@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from limnocast.functions.keys import DAY, epoch
+from limnocast.operators.intervals import interval_join
 
 
 @dataclass(frozen=True)
@@ -85,3 +86,50 @@ def backtest_coverage(targets: DataFrame, plan: Backtest) -> DataFrame:
         .join(held, "simulation", "left")
         .withColumn("n_targets", F.coalesce("n_targets", F.lit(0)))
     )
+
+
+def windows_at(origins: DataFrame, start: str) -> DataFrame:
+    """One row per simulation and model from a table of origins ``(model, end_date, horizon)``.
+
+    Origins may lie at any dates, with gaps and with horizons that overlap or differ. Each simulation starts where the
+    one before it ended, the first at ``start``; that one only spins up, whatever its horizon. An origin named
+    twice counts once, with its longest horizon.
+    """
+    once = origins.where("model is not null and end_date is not null").groupBy("model", "end_date").agg(F.max("horizon").alias("horizon"))
+    order = Window.partitionBy("model").orderBy("end_date")
+    numbered = once.withColumns(
+        {"simulation": F.row_number().over(order), "start_date": F.coalesce(F.lag("end_date").over(order), F.lit(start).cast("date"))}
+    )
+    horizon = F.when(F.col("simulation") == 1, 0).otherwise(F.coalesce("horizon", F.lit(0)))
+    return numbered.select("model", "simulation", "start_date", "end_date", horizon.cast("int").alias("horizon"))
+
+
+def covered_at(targets: DataFrame, windows: DataFrame) -> DataFrame:
+    """Each row of ``targets`` once per window whose forecast covers it: from its end through its horizon later.
+
+    A window is copied to the days it reaches and a row has one day, so the join is on equal days whatever the windows look like.
+    """
+    forecast = windows.select(
+        "model",
+        "simulation",
+        F.col("end_date").cast("timestamp").alias("_from"),
+        F.timestamp_seconds(epoch(F.col("end_date")) + F.col("horizon") * DAY).alias("_upto"),
+    )
+    timed = targets.withColumn("_at", F.col("datetime").cast("timestamp"))
+    return interval_join(timed, forecast, "_at", "_from", "_upto").drop("_at", "_from", "_upto")
+
+
+def coverage_at(targets: DataFrame, windows: DataFrame) -> DataFrame:
+    """Windows with the number and mean of the observations each forecast can be judged by.
+
+    Observations of one instant collapse to their number and sum before they meet the windows.
+    """
+    instants = (
+        targets.where(F.col("observation").isNotNull())
+        .groupBy("datetime")
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum("observation").alias("_sum"))
+    )
+    held = covered_at(instants, windows).groupBy("model", "simulation").agg(
+        F.sum("_n").alias("n_targets"), (F.sum("_sum") / F.sum("_n")).alias("mean_observation")
+    )
+    return windows.join(held, ["model", "simulation"], "left").withColumn("n_targets", F.coalesce("n_targets", F.lit(0)))

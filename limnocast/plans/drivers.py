@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,14 +34,17 @@ from limnocast.schemas import (
     FLUX_VARIABLES,
     LONGWAVE,
     PRECIPITATION,
+    MET_SCHEMA,
     SHORTWAVE,
-    STAGE2_SCHEMA,
+    STAGE2_PARTITIONS,
     STAGE3_PARTITIONS,
     VARIABLE_NAMES,
     with_constants,
 )
 from limnocast.session import checkpointed
-from limnocast.sources.readers import read_member_files, read_met, read_or_empty, stored_dates
+from limnocast.sources.catalogue import MONTH, archive_partitions, listed_dates
+from limnocast.sources.readers import read_layout, read_member_files
+from limnocast.sources.cubes import Cube
 from limnocast.sources.writers import STAGE3_ORDER, rewrite_partitions, write_stage2
 
 KELVIN_SHIFT = 273.0
@@ -182,8 +186,9 @@ def normalise_history(met: DataFrame, lon: float, lat: float) -> DataFrame:
 
 def normalise_history_archive(spark: SparkSession, path: str, site_id: str, lon: float, lat: float) -> None:
     """``normalise_history`` of one site of a stored archive, in place; a site not stored is left so."""
-    stored = read_met(spark, path).where(F.col("site_id") == site_id)
-    rewrite_partitions(normalise_history(stored, lon, lat), path, STAGE3_PARTITIONS, STAGE3_ORDER)
+    layout = archive_partitions(spark, path, STAGE3_PARTITIONS)
+    stored = read_layout(spark, path, MET_SCHEMA, layout).where(F.col("site_id") == site_id).drop(MONTH)
+    rewrite_partitions(normalise_history(stored, lon, lat), path, layout, STAGE3_ORDER)
 
 
 def _grid_to_long(grid: DataFrame, names: dict[str, str], site_id: str) -> DataFrame:
@@ -195,15 +200,31 @@ def _grid_to_long(grid: DataFrame, names: dict[str, str], site_id: str) -> DataF
 
 
 def forecast_drivers(
-    grid: DataFrame, site_id: str, lon: float, lat: float, start: str, end: str, **options
+    grid: DataFrame | Cube,
+    site_id: str,
+    lon: float,
+    lat: float,
+    start: str,
+    end: str,
+    days: Sequence[str] | None = None,
+    **options,
 ) -> DataFrame:
-    """Hourly member series of the full cycle issued nearest to each date.
+    """Hourly member series of the full cycle issued nearest to each date, or to each of ``days`` between.
 
     ``grid`` has init_time, ensemble_member, valid_time, latitude, longitude and a column
-    per variable. The grid is read once: the cell's rows are written out and
+    per variable; of a stored ``Cube`` only the cell's rows of the issues wanted are read. The cell's rows are written out and
     everything after works on those.
     """
-    cell = nearest_cell(grid, lon, lat).join(nearest_issues(grid, start, end), "init_time")
+    stored = isinstance(grid, Cube)
+    issues = chosen_days(nearest_issues(grid.axis("init_time") if stored else grid, start, end), days)
+    if stored or days is not None:
+        # At most one issue per date; as plain values they keep the scan from reading the others.
+        issues = checkpointed(issues)
+        wanted = sorted({r["init_time"] for r in issues.collect()})
+        rows = grid.cell(lon, lat) if stored else nearest_cell(grid, lon, lat)
+        cell = rows.where(F.col("init_time").isin(wanted)).join(issues, "init_time")
+    else:
+        cell = nearest_cell(grid, lon, lat).join(issues, "init_time")
     kept = [v for v in VARIABLE_NAMES if v in grid.columns]
     long = _grid_to_long(
         cell.select(
@@ -220,7 +241,7 @@ def forecast_drivers(
 
 
 def history_drivers(
-    grid: DataFrame,
+    grid: DataFrame | Cube,
     site_id: str,
     lon: float,
     lat: float,
@@ -234,7 +255,8 @@ def history_drivers(
     The grid is read once, the series is made hourly once, and copied to the members last.
     """
     kept = [v for v in VARIABLE_NAMES if v in grid.columns]
-    point = anchored_slice(nearest_cell(grid, lon, lat), "time", start, end)
+    cell = grid.cell(lon, lat) if isinstance(grid, Cube) else nearest_cell(grid, lon, lat)
+    point = anchored_slice(cell, "time", start, end)
     single = _grid_to_long(
         point.select(F.col("time").alias("datetime"), *kept), VARIABLE_NAMES, site_id
     ).withColumn("parameter", F.lit(0.0))
@@ -242,6 +264,13 @@ def history_drivers(
     return replicate_members(hourly, members).select(*SERIES, "datetime", "prediction")
 
 
+def chosen_days(issues: DataFrame, days: Sequence[str] | None) -> DataFrame:
+    """The issues of ``days``, or all."""
+    if days is None:
+        return issues
+    return issues.where(F.col("reference_datetime").isin([date.fromisoformat(d) for d in days]))
+
+
 def merge_history(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Stored history with fresh values in place of stored ones."""
     return keep_latest(
@@ -264,10 +293,7 @@ def update_history(
 ) -> DataFrame:
     """Add the hours of ``start`` to ``end`` that stored history lacks."""
     stored = existing.where(F.col("site_id") == site_id)
-    lacking = missing_hours(stored, start, end).agg(
-        F.date_format(F.min("datetime"), "yyyy-MM-dd"), F.date_format(F.max("datetime"), "yyyy-MM-dd")
-    )
-    first, last = lacking.first()
+    first, last = lacking_days(stored, start, end)
     if first is None:
         return existing
     fresh = history_drivers(grid, site_id, lon, lat, first, last, members, **options)
@@ -277,14 +303,45 @@ def update_history(
     return rest.unionByName(merge_history(days, fresh))
 
 
+def lacking_days(stored: DataFrame, start: str, end: str) -> tuple[str | None, str | None]:
+    """First and last day from ``start`` to ``end`` that lacks an hour; both None if none does."""
+    lacking = missing_hours(stored, start, end).agg(
+        F.date_format(F.min("datetime"), "yyyy-MM-dd"), F.date_format(F.max("datetime"), "yyyy-MM-dd")
+    )
+    return tuple(lacking.first())
+
+
 def update_history_archive(
-    spark: SparkSession, path: str, grid: DataFrame, site_id: str, *args, **options
+    spark: SparkSession,
+    path: str,
+    grid: DataFrame,
+    site_id: str,
+    lon: float,
+    lat: float,
+    start: str,
+    end: str,
+    members: int = 31,
+    by_month: bool | None = None,
+    **options,
 ) -> None:
-    """``update_history`` on a stored archive, replacing the site's partition."""
-    stored = read_met(spark, path).where(F.col("site_id") == site_id)
-    rewrite_partitions(
-        update_history(stored, grid, site_id, *args, **options), path, STAGE3_PARTITIONS, STAGE3_ORDER
-    )
+    """``update_history`` on a stored archive, replacing only the months of the site that gain hours.
+
+    A new archive has months below its sites. One that is stored without stays so, and has the
+    site's whole partition replaced; ``migrate_to_months`` makes one of the other. ``by_month`` asks for either.
+    """
+    layout = archive_partitions(spark, path, STAGE3_PARTITIONS, by_month)
+    stored = read_layout(spark, path, MET_SCHEMA, layout).where(F.col("site_id") == site_id)
+    if MONTH not in layout:
+        merged = update_history(stored, grid, site_id, lon, lat, start, end, members, **options)
+        rewrite_partitions(merged, path, layout, STAGE3_ORDER)
+        return
+    months = F.col(MONTH)
+    first, last = lacking_days(stored.where(months.between(start[:7], end[:7])), start, end)
+    if first is None:
+        return
+    fresh = history_drivers(grid, site_id, lon, lat, first, last, members, **options)
+    touched = stored.where(months.between(first[:7], last[:7])).drop(MONTH)
+    rewrite_partitions(merge_history(touched, fresh), path, layout, STAGE3_ORDER)
 
 
 def update_forecast_archive(
@@ -300,17 +357,16 @@ def update_forecast_archive(
 ) -> list[str]:
     """Add the issue dates of ``start`` to ``end`` that a stored forecast archive lacks; returns them.
 
-    Drivers are built for the stretches of lacking dates only, and dates already stored keep their files.
+    What is stored is told from folder names. Issue times are looked up for the lacking dates only, so the cube's rows of
+    other issues are not read, and dates already stored keep their files.
     """
-    stored = stored_dates(read_or_empty(spark, path, STAGE2_SCHEMA), site_id)
-    lacking = missing_dates(stored, "reference_datetime", start, end)
+    stored = listed_dates(spark, path, site_id, STAGE2_PARTITIONS)
     # One date per day asked for.
-    days = sorted(r[0] for r in lacking.collect())
+    days = sorted(r[0].isoformat() for r in missing_dates(stored, "reference_datetime", start, end).collect())
     if not days:
         return []
-    fresh = forecast_drivers(grid, site_id, lon, lat, days[0].isoformat(), days[-1].isoformat(), **options)
-    issued = F.to_date("reference_datetime")
-    chosen = checkpointed(fresh.where(issued.isin(days)).withColumn("reference_datetime", issued))
+    fresh = forecast_drivers(grid, site_id, lon, lat, days[0], days[-1], days=days, **options)
+    chosen = checkpointed(fresh.withColumn("reference_datetime", F.to_date("reference_datetime")))
     write_stage2(chosen, path)
     return [d.isoformat() for d in sorted(r[0] for r in chosen.select("reference_datetime").distinct().collect())]
 

@@ -14,7 +14,8 @@ from limnocast.operators.reshape import archive_slice, scoreable
 from limnocast.operators.scoring import merge_scores, score_forecasts, still_valid
 from limnocast.schemas import SCORE_PARTITIONS, SCORE_SCHEMA, conform
 from limnocast.session import checkpointed
-from limnocast.sources.readers import read_forecasts, read_or_empty, read_scores, read_targets
+from limnocast.sources.catalogue import MONTH, archive_partitions
+from limnocast.sources.readers import read_forecasts, read_layout, read_scores, read_targets
 from limnocast.sources.writers import rewrite_partitions
 
 
@@ -45,38 +46,44 @@ def update_scores(
     scores_path: str,
     duration: str = "P1D",
     latest_only: bool = False,
+    by_month: bool | None = None,
     **options,
 ) -> None:
     """Score what is new and merge it into the score archive.
 
     Only the (site, variable, model) partitions that gain a score are read back and
     replaced, with all they hold, rows without an observation included. New scores are written out
-    once, since both steps use them.
+    once, since both steps use them. A new archive has a level of months of valid time below, so that a daily run replaces
+    the files of a month and not of all time; an archive stored without months stays so (``migrate_to_months`` makes
+    one of the other). ``by_month`` asks for either.
     """
+    layout = archive_partitions(spark, scores_path, SCORE_PARTITIONS, by_month)
     forecasts = read_forecasts(spark, forecasts_path).withColumn("duration", F.lit(duration))
     targets = read_targets(spark, targets_path)
     stored = read_scores(spark, scores_path)
     new = checkpointed(
         conform(score_incremental(forecasts, targets, stored, **options), SCORE_SCHEMA)
     )
-    touched = touched_partitions(read_or_empty(spark, scores_path, SCORE_SCHEMA), new)
-    rewrite_partitions(merge_scores(touched, new, latest_only), scores_path, SCORE_PARTITIONS)
+    touched = touched_partitions(read_layout(spark, scores_path, SCORE_SCHEMA, layout), new, layout)
+    rewrite_partitions(merge_scores(touched.drop(MONTH), new, latest_only), scores_path, layout)
 
 
-def touched_partitions(stored: DataFrame, new: DataFrame) -> DataFrame:
+def touched_partitions(stored: DataFrame, new: DataFrame, partitions: Sequence[str] = SCORE_PARTITIONS) -> DataFrame:
     """Rows of the stored partitions that ``new`` has rows for; the scan opens no others.
 
     The driver gets one row per partition touched, and asks for those partitions by value.
     """
-    touched = new.select(*SCORE_PARTITIONS).distinct()
+    if MONTH in partitions:
+        new = new.withColumn(MONTH, F.date_format("datetime", "yyyy-MM"))
+    touched = new.select(*partitions).distinct()
     groups = touched.collect()
     if not groups:
         return stored.limit(0)
-    for column in SCORE_PARTITIONS:
+    for column in partitions:
         values = {g[column] for g in groups}
         wanted = F.col(column).isin(sorted(values - {None}))
         stored = stored.where(wanted | F.col(column).isNull() if None in values else wanted)
-    return join_null_safe(stored, touched, SCORE_PARTITIONS, "left_semi")
+    return join_null_safe(stored, touched, partitions, "left_semi")
 
 
 def score_batch(

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """UTC clock for all time arithmetic; AQE for run-time joins, coalescing and skew."""
+    """UTC clock for all time arithmetic; AQE for run-time joins, coalescing and skew; times that files can be skipped by."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -16,6 +19,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     # Split a hot join partition even when the aggregate above then needs its own shuffle.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # The older type has no statistics, so no row group could be skipped by a time.
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 
@@ -39,3 +44,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from the files."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new path in the shared folder for tables that one job writes and reads; removed at the end, also after a failure."""
+    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

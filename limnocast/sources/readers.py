@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -9,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from limnocast.functions.keys import base_name, strip
+from limnocast.operators.ranking import sized
 from limnocast.schemas import FORECAST_SCHEMA, MET_SCHEMA, SCORE_SCHEMA, TARGET_SCHEMA, conform
+from limnocast.session import checkpointed
+from limnocast.sources.catalogue import MONTH, header_catalogue
 
 
 def read_forecasts(spark: SparkSession, path: str) -> DataFrame:
@@ -37,6 +40,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
+def read_layout(spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str]) -> DataFrame:
+    """An archive stored by ``partitions``, with its ``month`` where that is one of them, so that months can be pruned."""
+    extra = [T.StructField(MONTH, T.StringType())] if MONTH in partitions else []
+    return read_or_empty(spark, path, T.StructType([*schema.fields, *extra]))
+
+
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
     """Stored scores that have an observation; none when nothing is scored yet."""
     return read_or_empty(spark, path, SCORE_SCHEMA).where(F.col("observation").isNotNull())
@@ -99,8 +108,9 @@ def normalise_targets(raw: DataFrame, kind: str = "timestamp") -> DataFrame:
 def read_member_files(spark: SparkSession, folder: str, model: str) -> DataFrame:
     """Wide weather files of all members, ``met_<model>_<member>.csv``, member from the name.
 
-    One distributed read of the set. No matching file gives no rows, and files whose headers disagree are an error
-    when they are read, so no column is taken for another.
+    A member may be a file or a folder of part files of that name. Columns are picked by each file's own header, so files may
+    differ in the order of their columns and in what else they hold; see ``read_differing``. No matching file
+    gives no rows.
     """
     prefix = f"met_{model}_"
     schema = T.StructType(
@@ -110,18 +120,39 @@ def read_member_files(spark: SparkSession, folder: str, model: str) -> DataFrame
             T.StructField("WindSpeed", T.DoubleType()),
         ]
     )
-    out = T.StructType([*schema.fields, T.StructField("parameter", T.StringType())])
-    pattern = f"{folder.rstrip('/')}/{prefix}*.csv"
+    text = read_differing(spark, f"{folder.rstrip('/')}/{prefix}*.csv", schema)
+    member = F.regexp_extract("file", f"/{re.escape(prefix)}([^/]*)[.]csv", 1)
+    return text.select(*schema.names, F.url_decode(F.replace(member, F.lit("+"), F.lit("%2B"))).alias("parameter"))
+
+
+def read_differing(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
+    """Rows of CSV files whose headers may differ: ``schema``'s columns by each file's own names, and ``file``.
+
+    The first lines of all files give a catalogue of names, one row per file, and the distinct headers among them decide
+    which fields of a line are which. All files are then read in one scan, whatever the number of headers. A column that
+    a file lacks is null in its rows, and so is ``NA``, an empty field and what cannot be cast.
+    """
     try:
-        text = spark.read.csv(pattern, header=True, nullValue="NA", enforceSchema=False)
+        heads = header_catalogue(spark, pattern)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], out)
+            return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("file", T.StringType())]))
         raise
-    return text.select(
-        *[F.nullif(F.col(f.name), F.lit("")).cast(f.dataType).alias(f.name) for f in schema.fields],
-        strip(base_name(F.col("_metadata.file_path")), prefix, ".csv").alias("parameter"),
-    )
+    heads = checkpointed(heads)
+    width = heads.agg(F.max(F.size("names"))).first()[0] or 1
+    fields = [f"_c{i}" for i in range(width)]
+    places = heads.select("file", *[F.array_position("names", F.lit(f.name)).cast("int").alias(f"_at_{f.name}") for f in schema.fields])
+    # A header line is left out at the start of every file; names are set aside, places count.
+    lines = spark.read.schema(", ".join(f"{f} string" for f in fields)).csv(pattern, header=True, nullValue="NA")
+    lines = lines.select(F.array(*fields).alias("_line"), F.col("_metadata.file_path").alias("file"))
+    joined = lines.join(sized(places), "file")
+
+    def column(f: T.StructField) -> Column:
+        at = F.col(f"_at_{f.name}")
+        text = F.when(at > 0, F.get("_line", at - 1))
+        return F.nullif(text, F.lit("")).try_cast(f.dataType).alias(f.name)
+
+    return joined.select(*[column(f) for f in schema.fields], "file")
 
 
 def stored_dates(archive: DataFrame, site_id: str) -> DataFrame:

@@ -14,6 +14,7 @@ from limnocast.schemas import (
     STAGE3_PARTITIONS,
 )
 from limnocast.session import checkpointed
+from limnocast.sources.catalogue import MONTH, is_by_month
 
 STAGE3_ORDER = ["datetime", "family", "parameter", "variable"]
 
@@ -24,8 +25,11 @@ def write_partitions(
     """Replace the partitions ``df`` has rows for and leave the others alone.
 
     The rebalance hint gathers each partition's rows into few files, and lets AQE split
-    a partition that holds far more rows than the rest over several tasks.
+    a partition that holds far more rows than the rest over several tasks. A ``month`` among the
+    partitions is that of ``datetime``, so a day's rows touch the files of one month only.
     """
+    if MONTH in partitions and MONTH not in df.columns:
+        df = df.withColumn(MONTH, F.date_format("datetime", "yyyy-MM"))
     placed = df.hint("rebalance", *partitions)
     if order:
         placed = placed.sortWithinPartitions(*partitions, *order)
@@ -68,6 +72,13 @@ def rewrite_partitions(df: DataFrame, path: str, partitions: Sequence[str], orde
     write_partitions(checkpointed(df), path, partitions, order)
 
 
+def migrate_to_months(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str] = ()) -> None:
+    """Write an archive ``df`` of any layout anew by months under its ``partitions``; ``path`` must be new."""
+    if is_by_month(df.sparkSession, path) is not None:
+        raise ValueError(f"{path} is not new")
+    write_partitions(df.drop(MONTH), path, [*partitions, MONTH], order)
+
+
 def write_targets(df: DataFrame, path: str) -> None:
     df.select([F.col(f"`{c}`") for c in df.columns]).write.mode("overwrite").csv(
         path, header=True, nullValue="NA"

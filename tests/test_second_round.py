@@ -5,7 +5,6 @@ from datetime import date, datetime
 
 import numpy as np
 import pytest
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from limnocast.operators.ranking import ranked_values
@@ -96,7 +95,7 @@ def test_updated_history_is_sorted_and_moves_only_lacking_days(spark, tmp_path):
     path, grid = str(tmp_path / "s3"), cells(spark, "analysis")
     update_history_archive(spark, path, grid, "S", 9.1, 50.1, "2024-01-20", "2024-01-21", 2)
     update_history_archive(spark, path, grid, "S", 9.1, 50.1, "2024-01-20", "2024-01-22", 2)
-    for file in (tmp_path / "s3/site_id=S").glob("*.parquet"):
+    for file in (tmp_path / "s3/site_id=S").rglob("*.parquet"):
         rows = [tuple(r) for r in spark.read.parquet(str(file)).select("datetime", "family", "parameter", "variable").collect()]
         assert rows == sorted(rows)
     # Outside the lacking days rows pass through, copies and other sites included.
@@ -243,8 +242,9 @@ def test_member_files_of_another_order_are_not_misread(spark, tmp_path):
     (tmp_path / "met_m_0.csv").write_text("time,AirTemp,WindSpeed\n2024-01-01 00:00:00,1,2\n")
     assert read_member_files(spark, str(tmp_path), "m").first()["AirTemp"] == 1.0
     (tmp_path / "met_m_1.csv").write_text("time,WindSpeed,AirTemp\n2024-01-01 00:00:00,2,1\n")
-    with pytest.raises(Py4JJavaError, match="header does not conform"):
-        read_member_files(spark, str(tmp_path), "m").collect()
+    assert {tuple(r) for r in read_member_files(spark, str(tmp_path), "m").collect()} == {
+        (day(1, 0), 1.0, 2.0, "0"), (day(1, 0), 1.0, 2.0, "1")
+    }
 
 
 def test_start_of_the_fixture():
