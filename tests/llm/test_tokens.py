@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from limnocast.llm import sentence_pieces, word_tokens
 from limnocast.llm.packing import best_fit, lower_bound, pack, pack_documents
-from limnocast.llm.sentence_pieces import MergePieces, digest, encode_documents
+from limnocast.llm.sentence_pieces import MergePieces, digest, digests, encode_documents
 from limnocast.llm.word_tokens import WordTokens
 
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
@@ -37,7 +37,7 @@ def test_pieces_equal_the_library():
 def test_both_agendas_agree():
     model = MergePieces(PIECES)
     for text in random_texts(2, 300):
-        assert model._merge_few(text) == model._merge_many(text)
+        assert not text or model.merge(text) == model._spell(model._merge_many(text))
 
 
 def test_pieces_over_block_borders_and_full_cache(monkeypatch):
@@ -51,13 +51,26 @@ def test_pieces_over_block_borders_and_full_cache(monkeypatch):
 
 def test_library_result_stands_where_they_differ(monkeypatch):
     model = MergePieces(PIECES)
-    monkeypatch.setattr(model, "merge", lambda segment: [5])
+    monkeypatch.setattr(model, "merge_all", lambda segments: [[5] for _ in segments])
     ids = model.library.encode("hello world")
     number, ids_sha, _, same = digest(model, "hello world")
     assert (number, same) == (len(ids), False)
     assert ids_sha == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_ids_are_those_of_the_digests(spark):
+    rows = [(i, text) for i, text in enumerate(random_texts(5, 60))]
+    for r in encode_documents(spark.createDataFrame(rows, "doc_id long, text string"), PIECES, with_ids=True).collect():
+        assert r.n_tokens == len(r.ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
+
+
+def test_batches_equal_single_texts():
+    texts = [*random_texts(6, 400), None, "", "y" * 100, "x y" * 50]
+    together, alone = list(digests(MergePieces(PIECES), texts)), MergePieces(PIECES)
+    assert together == [digest(alone, text) for text in texts]
+
+
 def test_encode_documents(spark):
     rows = [(1, None, 1), (1, None, 1), (None, "", 2), (2, "two words\n", 3)]
     out = encode_documents(spark.createDataFrame(rows, "doc_id long, text string, n_tokens int"), PIECES, with_ids=True)
