@@ -1,4 +1,4 @@
-"""Licences of documents: TF-IDF cosine of lines to templates, then inheritance from directories.
+"""Licences of documents: TF-IDF cosine of runs of lines and of whole files to templates, then inheritance from directories.
 
 Everything here is DataFrame and SQL functions.
 """
@@ -7,77 +7,82 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from limnocast.llm.licence_texts import FILES, NOTICES
+from limnocast.llm.vectors import with_sizes
 from limnocast.session import checkpointed
 
-#: (licence, notice). Wordings of public licence notices. Fixed values.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, version 3."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
-    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-)
-#: A line is a notice, and a whole text is a licence file, from these cosines on.
+#: A run of lines is a notice, and the beginning of a text that of a licence file, from the first cosine on; a whole text
+#: is mostly a licence from the second on.
 LINE_COSINE, FILE_COSINE = 0.8, 0.5
+#: A term in a smaller share of documents than one in so many weighs no more, so weights do not grow with the corpus.
+RAREST = 10_000
+#: Lines of a text whose runs are listed at a time.
+CHUNK_LINES = 500
 
 #: What separates terms, in a lower-cased text.
 SEPARATORS = "[^a-z0-9]+"
 
 
-def _terms(text: Column) -> Column:
-    """The distinct terms of a text."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(text), SEPARATORS)), "")
+def words_of(text: str) -> list[str]:
+    return [w for w in re.split(SEPARATORS, text.lower()) if w]
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), SEPARATORS), lambda w: w != "")
 
 
 def _literal(words: list[str]) -> Column:
     return F.array(*(F.lit(w) for w in words)).cast("array<string>")
 
 
-def weights(documents: dict[str, int], number: int, words: set[str]) -> tuple[dict[str, float], float]:
-    """``ln((1 + N) / (1 + n)) + 1`` for each of ``words`` in ``n`` of ``N`` documents, and that of a word in none."""
+def idf(held: int, number: int) -> float:
+    """Weight of a term in ``held`` of ``number`` documents: from 1 for one in all to 2 for the rarest."""
+    return 1 + min(math.log((1 + number) / (1 + held)), math.log(RAREST)) / math.log(RAREST)
+
 
-    def idf(n: int) -> float:
-        return math.log((1 + number) / (1 + n)) + 1
+def _idf(held: Column, number: int) -> Column:
+    return 1 + F.least(F.log((1 + F.lit(number)) / (1 + held)), F.lit(math.log(RAREST))) / math.log(RAREST)
 
-    return {w: idf(documents.get(w, 0)) for w in words}, idf(0)
 
+def vector(words: list[str], weight: dict[str, float]) -> dict[str, float]:
+    """Weights of the terms of a template: its counts by their logarithm, times the terms' rarity."""
+    return {w: (1 + math.log(n)) * weight[w] for w, n in sorted(Counter(words).items())}
 
-def leading_terms(templates: list[set[str]], idf: dict[str, float], cosine: float) -> list[str]:
-    """Terms of which every text that reaches ``cosine`` to a template holds one.
+
+def leading_terms(vectors: list[dict[str, float]], cosine: float) -> list[str]:
+    """Terms of which every vector that reaches ``cosine`` to one of ``vectors`` holds one.
 
     By Cauchy and Schwarz the terms shared with a template must carry ``cosine ** 2`` of its squared length. So
-    its rarest terms are taken until the others carry less than that.
+    its heaviest terms are taken until the others carry less than that.
     """
     out: set[str] = set()
-    for terms in templates:
-        order = sorted(terms, key=lambda w: (-idf[w], w))
-        left = sum(idf[w] ** 2 for w in order)
+    for weights in vectors:
+        order = sorted(weights, key=lambda w: (-weights[w], w))
+        left = sum(x * x for x in weights.values())
         least = cosine**2 * left * (1 - 1e-9)
         for word in order:
             if left < least:
                 break
             out.add(word)
-            left -= idf[word] ** 2
+            left -= weights[word] ** 2
     return sorted(out)
 
 
+def longest_run(notices: list[list[str]], cosine: float) -> int:
+    """Words up to which runs are compared: those of the longest notice, with room for what a cosine lets pass beside it."""
+    return math.ceil(max((len(n) for n in notices), default=0) / cosine**2)
+
+
 def scan(
     docs: DataFrame,
     path: Column,
-    templates: tuple[tuple[str, str], ...] = TEMPLATES,
+    notices: tuple[tuple[str, str], ...] = NOTICES,
+    files: tuple[tuple[str, str], ...] = FILES,
     line_cosine: float = LINE_COSINE,
     file_cosine: float = FILE_COSINE,
     id_col: str = "doc_id",
@@ -85,92 +90,160 @@ def scan(
 ) -> DataFrame:
     """``(doc_id, path, license, basis, cosine, notices, from_dir)`` for each row of ``docs``.
 
-    Every line of every whole text, and every whole text, is a vector of its distinct terms, weighted by how few of
-    all documents hold them; a term of no template weighs as one that no document holds. A line with ``line_cosine`` or more to
-    a template is a notice of its licence, a text with ``file_cosine`` or more a licence file, which speaks for its
+    Terms are lower-cased words; a vector holds ``1 + ln(count)`` of each, times a weight by the share of documents that hold the term,
+    counted over all words of all documents (see ``idf``). Of every whole text, lines without a word aside, each run of consecutive lines of up to
+    ``longest_run`` words, and each longer line, that begins and ends with a line that shares a word with a notice is compared with the notices.
+    For each line the best run over it counts (of equals the shorter, the earlier, the name that sorts first): with
+    ``line_cosine`` or more it is a notice of its licence. A text is a licence file if its beginning, as many words as the
+    opening in ``files`` has, reaches ``line_cosine`` to that opening and the whole text reaches ``file_cosine``: so a source file with a
+    head, or a few lines with a notice, is none. A file speaks for its
     directory: the licence that most files there name, of equals the one that sorts first.
-    ``license`` is that of the file (basis ``file``) or of the best notice (``notice``), of equals the one that
+
+    ``license`` is that of the file (basis ``file``, ``cosine`` of its beginning) or of the best notice (``notice``), of equals the one that
     sorts first; else it is inherited from the nearest directory above that has one
     (``inherited``, ``from_dir``), else null. ``notices`` lists the licences of all notices. A null or empty text has no terms; a null
     path lies in the root directory, the empty string. Repeated rows each get a row; other columns are not read. An empty table gives an empty result.
 
     The driver holds only the templates and one number for each of their terms.
     """
-    named = [(licence, {t for t in re.split(SEPARATORS, notice.lower()) if t}) for licence, notice in templates]
-    words = sorted(set().union(*(terms for _, terms in named)))
-    present = docs.select(F.explode(F.array_intersect(_terms(F.col(text_col)), _literal(words))).alias("term"))
-    counted = {r["term"]: r["n"] for r in present.groupBy("term").agg(F.count("*").alias("n")).collect()}
-    idf, strange = weights(counted, docs.count(), set(words))
-
-    def vector(terms: Column) -> Column:
-        known = F.array_sort(F.array_intersect(terms, _literal(words)))
-        return F.struct(known.alias("known"), (F.size(terms) - F.size(known)).alias("other"))
-
-    leads = {c: _literal(leading_terms([t for _, t in named], idf, c)) for c in (line_cosine, file_cosine)}
-    whole, lines = _terms(F.col(text_col)), F.transform(F.split(text_col, "\n"), _terms)
+    told = [(licence, words_of(text)) for licence, text in notices]
+    opened = [(licence, words_of(text)) for licence, text in files]
+    used = sorted({w for _, ws in (*told, *opened) for w in ws})
+
+    # Documents that hold each word, and with no word the number of all documents.
+    present = docs.select(F.explode(F.concat(F.array_distinct(_words(F.coalesce(text_col, F.lit("")))), F.array(F.lit("")))).alias("term"))
+    counts = checkpointed(present.groupBy("term").agg(F.count("*").alias("n")))
+    few = {r["term"]: r["n"] for r in counts.where(F.col("term").isin([*used, ""])).collect()}
+    number = few.get("", 0)
+    weight = {w: idf(few.get(w, 0), number) for w in used}
+    told_vectors = [vector(ws, weight) for _, ws in told]
+    opened_vectors = [vector(ws, weight) for _, ws in opened]
+
     where = F.coalesce(path, F.lit(""))
-    held = checkpointed(
-        docs.select(
-            F.monotonically_increasing_id().alias("row"),
-            F.col(id_col).alias("id"),
-            where.alias("path"),
-            F.regexp_replace(where, "(?s)/?[^/]*$", "").alias("dir"),
-            F.transform(F.filter(lines, lambda t: F.arrays_overlap(t, leads[line_cosine])), vector).alias("lines"),
-            F.when(F.arrays_overlap(whole, leads[file_cosine]), vector(whole)).alias("file"),
-        )
-    )
-    units = held.select("row", F.lit(False).alias("is_file"), F.inline("lines")).union(
-        held.where("file is not null").select("row", F.lit(True), "file.known", "file.other")
+    words = _words(F.col(text_col))
+    leads = _literal(leading_terms(told_vectors, line_cosine))
+    file_leads = _literal(leading_terms(opened_vectors, line_cosine))
+    lines = F.filter(F.transform(F.split(text_col, "\n"), _words), lambda x: F.size(x) > 0)
+    held = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id_col).alias("id"),
+        where.alias("path"),
+        F.regexp_replace(where, "(?s)/?[^/]*$", "").alias("dir"),
+        F.col(text_col),
+        words.alias("words"),
+    ).select(
+        "row", "id", "path", "dir",
+        F.when(F.arrays_overlap("words", leads), lines).alias("lines"),
+        F.when(F.arrays_overlap("words", file_leads), F.col("words")).alias("file"),
+    )
+    held = checkpointed(held)
+
+    known = _literal(sorted({w for v in told_vectors for w in v}))
+    runs = _runs(held.where("lines is not null").select("row", "lines"), known, leads, longest_run([ws for _, ws in told], line_cosine))
+    sizes = _literal([]).cast("array<int>") if not opened else F.array(*[F.lit(len(ws)) for _, ws in opened])
+    starts = held.where("file is not null").select("row", "file", F.posexplode(sizes).alias("template", "size"))
+    units = (
+        runs.select("row", F.lit("run").alias("kind"), F.lit(None).cast("int").alias("template"), "first", "last", "words")
+        .union(starts.select("row", F.lit("start"), "template", F.lit(0), F.lit(0), F.slice("file", F.lit(1), F.col("size"))))
+        .union(held.where("file is not null").select("row", F.lit("whole"), F.lit(None), F.lit(0), F.lit(0), "file"))
     )
-    found = units.join(_cosines(units, named, idf, strange), ["known", "other"])
-    found = found.where(F.col("cosine") >= F.when(F.col("is_file"), file_cosine).otherwise(line_cosine))
-    # A file outranks a notice; then the higher cosine, then the name.
-    rank = F.struct((~F.col("is_file")).alias("line"), (-F.col("cosine")).alias("cosine"), "licence")
-    notice = F.when(~F.col("is_file"), F.col("licence"))
-    own = checkpointed(
-        found.groupBy("row").agg(F.min(rank).alias("best"), F.array_sort(F.collect_set(notice)).alias("notices"))
+    units = checkpointed(units.withColumn("bag", F.md5(F.array_join(F.array_sort("words"), " "))))
+    told_of = [("told", i, licence, v) for i, ((licence, _), v) in enumerate(zip(told, told_vectors, strict=True))]
+    opened_of = [("opened", i, licence, v) for i, ((licence, _), v) in enumerate(zip(opened, opened_vectors, strict=True))]
+    near = checkpointed(_cosines(units, counts, number, [*told_of, *opened_of], min(line_cosine, file_cosine)))
+
+    # A bag that many rows share meets its row of cosines in many tasks.
+    found = with_sizes(units.drop("words"), near, ["bag"], "row")
+    hits = F.filter("hits", lambda h: (h["side"] == "told") & (h["cosine"] >= line_cosine))
+    best_hit = F.array_min(F.transform(hits, lambda h: F.struct((-h["cosine"]).alias("cosine"), h["licence"].alias("licence"))))
+    noticed = found.where("kind = 'run'").withColumn("hit", best_hit).where("hit is not null")
+    per_line = noticed.select(
+        "row", F.explode(F.sequence("first", "last")).alias("line"),
+        F.struct("hit.cosine", (F.col("last") - F.col("first")).alias("long"), "first", "hit.licence").alias("rank"),
+    ).groupBy("row", "line").agg(F.min("rank").alias("rank"))
+    spoken = per_line.groupBy("row").agg(
+        F.min(F.struct("rank.cosine", "rank.licence")).alias("notice"), F.array_sort(F.collect_set("rank.licence")).alias("notices")
     )
+    mine = F.filter("hits", lambda h: (h["side"] == "opened") & (h["template"] == F.col("unit_template")) & (h["cosine"] >= line_cosine))
+    start = found.where("kind = 'start'").withColumn("unit_template", F.col("template")).select("row", F.inline(mine))
+    whole = found.where("kind = 'whole'").select("row", F.inline("hits")).where((F.col("side") == "opened") & (F.col("cosine") >= file_cosine))
+    filed = start.select("row", "template", "licence", "cosine").join(whole.select("row", "template"), ["row", "template"])
+    filed = filed.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("cosine"), "licence")).alias("file"))
+    own = checkpointed(spoken.join(filed, "row", "full"))
+
     rows = held.select("row", "id", "path", "dir").join(own, "row", "left")
-    heirs = _inherited(held.select("row", "dir").join(own, "row"), held.select("dir").distinct())
+    filed_dirs = held.select("row", "dir").join(own.where("file is not null"), "row")
+    heirs = _inherited(filed_dirs.select("dir", "file.licence"), held.select("dir").distinct())
     rows = rows.join(heirs, "dir", "left")
+    none = F.col("file").isNull() & F.col("notice").isNull()
     return rows.select(
         F.col("id").alias(id_col),
         "path",
-        F.coalesce("best.licence", "licence").alias("license"),
-        F.when(F.col("best").isNull(), F.when(F.col("licence").isNotNull(), "inherited"))
-        .when(F.col("best.line"), "notice")
-        .otherwise("file")
-        .alias("basis"),
-        (-F.col("best.cosine")).alias("cosine"),
+        F.coalesce("file.licence", "notice.licence", "licence").alias("license"),
+        F.when(F.col("file").isNotNull(), "file").when(F.col("notice").isNotNull(), "notice").when(F.col("licence").isNotNull(), "inherited").alias("basis"),
+        (-F.coalesce("file.cosine", "notice.cosine")).alias("cosine"),
         F.coalesce(F.array_join("notices", ","), F.lit("")).alias("notices"),
-        F.when(F.col("best").isNull(), F.col("from_dir")).alias("from_dir"),
+        F.when(none, F.col("from_dir")).alias("from_dir"),
+    )
+
+
+def _runs(rows: DataFrame, known: Column, leads: Column, longest: int) -> DataFrame:
+    """``(row, first, last, words)`` of the runs of ``rows(row, lines)`` that may be notices.
+
+    A run begins and ends with a line that shares a word with a notice, holds a leading term, and has ``longest`` words at most
+    or one line. Texts are cut into chunks of lines that overlap by what a run can reach, so one of many lines does not list all its runs in one row.
+    """
+    size = F.size("lines")
+    chunks = F.sequence(F.lit(0), F.floor((size - 1) / CHUNK_LINES).cast("int"))
+    cut = F.transform(
+        chunks,
+        lambda c: F.struct((c * CHUNK_LINES).alias("base"), F.slice("lines", c * CHUNK_LINES + 1, F.lit(CHUNK_LINES + longest)).alias("part")),
     )
+    part = rows.where(size > 0).select("row", F.inline(cut))
+    part = part.where(F.exists("part", lambda x: F.arrays_overlap(x, leads))).select(
+        "row", "base", "part",
+        F.transform("part", F.size).alias("sizes"),
+        F.transform("part", lambda x: F.arrays_overlap(x, known)).alias("known"),
+        F.transform("part", lambda x: F.arrays_overlap(x, leads)).alias("lead"),
+    )
+    # Words up to each line, by which the last line that a run can reach is found.
+    upto = F.expr("transform(sizes, (s, i) -> aggregate(slice(sizes, 1, i + 1), 0, (a, x) -> a + x))")
+    listed = F.expr(
+        f"flatten(transform(sequence(1, least(size(part), {CHUNK_LINES})), a -> transform(filter(sequence(a, least(size(part), a + {longest})), b -> "
+        f"known[a - 1] AND known[b - 1] AND (a = b OR upto[b - 1] - upto[a - 1] + sizes[a - 1] <= {longest}) "
+        "AND exists(slice(lead, a, b - a + 1), x -> x)), b -> named_struct('first', base + a, 'last', base + b, "
+        "'words', flatten(slice(part, a, b - a + 1))))))"
+    )
+    return part.withColumn("upto", upto).select("row", F.inline(listed))
 
 
-def _cosines(units: DataFrame, named: list[tuple[str, set[str]]], idf: dict[str, float], strange: float) -> DataFrame:
-    """``(known, other, licence, cosine)``: for each distinct vector its nearest template, rounded to 9 places."""
+def _cosines(
+    units: DataFrame, counts: DataFrame, number: int, templates: list[tuple[str, int, str, dict[str, float]]], least: float
+) -> DataFrame:
+    """``(bag, hits)`` of each distinct bag of words: the templates it has ``least`` cosine to, rounded to 9 places."""
     spark = units.sparkSession
-    # Both tables are as large as the templates given, and no larger.
-    terms = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
-    length = {i: sum(idf[w] ** 2 for w in sorted(ts)) for i, (_, ts) in enumerate(named)}
-    entries = [(i, licence, w, length[i]) for i, (licence, ts) in enumerate(named) for w in sorted(ts)]
-    entry = spark.createDataFrame(entries, "template int, licence string, term string, square double")
-    distinct = units.select("known", "other").distinct()
-    parts = distinct.select("known", "other", F.explode("known").alias("term")).join(F.broadcast(terms), "term")
-    lengths = parts.groupBy("known", "other").agg(
-        (F.sum(F.col("idf") * F.col("idf")) + F.col("other") * strange * strange).alias("own_square")
+    entries = [(side, i, licence, w, x, math.sqrt(sum(y * y for y in v.values()))) for side, i, licence, v in templates for w, x in v.items()]
+    entry = spark.createDataFrame(entries, "side string, template int, licence string, term string, value double, length double")
+    bags = units.groupBy("bag").agg(F.first("words").alias("words"))
+    parts = bags.select("bag", F.explode("words").alias("term")).groupBy("bag", "term").agg(F.count("*").alias("times"))
+    parts = checkpointed(parts)
+    # The document counts of the words in question only; a common one meets its bags in many tasks.
+    wanted = counts.join(parts.select("term").distinct(), "term", "left_semi")
+    weighted = with_sizes(parts, wanted, ["term"], "bag").select(
+        "bag", "term", ((1 + F.log("times")) * _idf(F.col("n"), number)).alias("own")
     )
-    dots = parts.join(F.broadcast(entry), "term").groupBy("known", "other", "template", "licence", "square")
-    dots = dots.agg(F.sum(F.col("idf") * F.col("idf")).alias("dot")).join(lengths, ["known", "other"])
-    cosine = F.round(F.col("dot") / F.sqrt(F.col("square") * F.col("own_square")), 9)
-    best = F.min(F.struct((-cosine).alias("cosine"), "licence")).alias("best")
-    nearest = dots.groupBy("known", "other").agg(best)
-    return nearest.select("known", "other", "best.licence", (-F.col("best.cosine")).alias("cosine"))
+    squares = weighted.groupBy("bag").agg(F.sum(F.col("own") * F.col("own")).alias("square"))
+    # As large as the templates given, and no larger.
+    dots = weighted.join(F.broadcast(entry), "term").groupBy("bag", "side", "template", "licence", "length")
+    dots = dots.agg(F.sum(F.col("own") * F.col("value")).alias("dot")).join(squares, "bag")
+    cosine = F.round(F.col("dot") / (F.col("length") * F.sqrt("square")), 9).alias("cosine")
+    hits = dots.select("bag", "side", "template", "licence", cosine).where(F.col("cosine") >= least)
+    return hits.groupBy("bag").agg(F.collect_list(F.struct("side", "template", "licence", "cosine")).alias("hits"))
 
 
-def _inherited(own: DataFrame, dirs: DataFrame) -> DataFrame:
-    """``(dir, licence, from_dir)`` for each of ``dirs`` that has a licence file in it or above."""
-    votes = own.where("not best.line").groupBy("dir", "best.licence").agg(F.count("*").alias("n"))
+def _inherited(files: DataFrame, dirs: DataFrame) -> DataFrame:
+    """``(dir, licence, from_dir)`` for each of ``dirs`` that has a licence file in it or above; ``files`` has dir and licence."""
+    votes = files.groupBy("dir", "licence").agg(F.count("*").alias("n"))
     spoken = votes.groupBy("dir").agg(F.min(F.struct((-F.col("n")).alias("n"), "licence")).alias("vote"))
     spoken = spoken.select(F.col("dir").alias("from_dir"), "vote.licence")
     parts = F.split("dir", "/")

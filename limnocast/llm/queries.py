@@ -12,7 +12,8 @@ from limnocast.llm import embedding_dups
 from limnocast.llm.common import ready, table
 from limnocast.llm.hard_negatives import hard_negatives
 from limnocast.llm.language_id import identify
-from limnocast.llm.licenses import FILE_COSINE, LINE_COSINE, TEMPLATES, scan
+from limnocast.llm.licence_texts import FILES, NOTICES
+from limnocast.llm.licenses import FILE_COSINE, LINE_COSINE, RAREST, longest_run, scan, words_of
 from limnocast.llm.merkle import manifest
 from limnocast.llm.nearest import nearest
 from limnocast.llm.packing import pack_documents
@@ -126,42 +127,58 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _licence_sql() -> str:
-    notices = ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(TEMPLATES))
-    terms = "list_filter(list_distinct(string_split_regex(lower({}), '[^a-z0-9]+')), lambda x: x <> '')"
-    return f"""WITH notice(template, licence, body) AS (VALUES {notices}),
-    entry AS (SELECT template, licence, unnest({terms.format("body")}) AS term FROM notice),
+    bodies = [("told", *n) for n in NOTICES] + [("opened", *f) for f in FILES]
+    values = ", ".join("('{}', {}, '{}', '{}')".format(a, i, b, c.replace("'", "''")) for i, (a, b, c) in enumerate(bodies))
+    words = "list_filter(string_split_regex(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
+    longest = longest_run([words_of(text) for _, text in NOTICES], LINE_COSINE)
+    rare = f"ln({RAREST}.0::DOUBLE)"
+    return f"""WITH template(side, template, licence, body) AS (VALUES {values}),
     docs AS (SELECT row_number() OVER () AS r, doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, text FROM documents),
     held AS (SELECT *, regexp_replace(path, '/?[^/]*$', '') AS dir FROM docs),
-    present AS (SELECT r, unnest({terms.format("text")}) AS term FROM held),
-    counts AS (SELECT term, count(*) AS n FROM present GROUP BY term),
+    counts AS (SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct({words.format("text")})) AS term FROM held) GROUP BY term),
     total AS (SELECT count(*) AS n FROM documents),
-    idf AS (SELECT e.term, ln((1 + (SELECT n FROM total)) / (1 + coalesce(c.n, 0))) + 1 AS idf
-      FROM (SELECT DISTINCT term FROM entry) e LEFT JOIN counts c USING (term)),
-    strange AS (SELECT ln(1 + (SELECT n FROM total)) + 1 AS idf),
-    lengths AS (SELECT template, sum(idf * idf) AS square FROM entry JOIN idf USING (term) GROUP BY template),
-    bodies AS (SELECT r, text AS body, true AS is_file FROM held WHERE text IS NOT NULL
-      UNION ALL SELECT r, unnest(string_split(text, chr(10))), false FROM held),
-    units AS (SELECT row_number() OVER () AS u, r, is_file, {terms.format("body")} AS terms FROM bodies),
-    parts AS (SELECT u, unnest(terms) AS term FROM units),
-    own AS (SELECT u, sum(coalesce(i.idf, (SELECT idf FROM strange)) ** 2) AS square FROM parts LEFT JOIN idf i USING (term) GROUP BY u),
-    dots AS (SELECT u, template, licence, sum(idf * idf) AS dot FROM parts JOIN idf USING (term) JOIN entry USING (term) GROUP BY ALL),
-    cosines AS (SELECT u, licence, round(dot / sqrt(l.square * o.square), 9) AS cosine
-      FROM dots JOIN lengths l USING (template) JOIN own o USING (u)),
-    nearest AS (SELECT u, licence, cosine FROM cosines QUALIFY row_number() OVER (PARTITION BY u ORDER BY cosine DESC, licence) = 1),
-    found AS (SELECT r, is_file, licence, cosine FROM nearest JOIN units USING (u)
-      WHERE cosine >= CASE WHEN is_file THEN {FILE_COSINE} ELSE {LINE_COSINE} END),
-    best AS (SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY r ORDER BY is_file DESC, cosine DESC, licence) = 1),
-    listed AS (SELECT r, string_agg(DISTINCT licence, ',' ORDER BY licence) AS notices FROM found WHERE NOT is_file GROUP BY r),
-    spoken AS (SELECT dir, licence FROM (SELECT dir, licence, count(*) AS n FROM best JOIN held USING (r) WHERE is_file GROUP BY ALL)
+    idf AS (SELECT term, 1 + least(ln((1 + (SELECT n FROM total)) / (1 + n)::DOUBLE), {rare}) / {rare} AS idf FROM counts),
+    unheld AS (SELECT 1 + least(ln(1 + (SELECT n FROM total)::DOUBLE), {rare}) / {rare} AS idf),
+    entry AS (SELECT side, template, licence, term, (1 + ln(count(*))) * coalesce(any_value(idf.idf), (SELECT idf FROM unheld)) AS value
+      FROM (SELECT side, template, licence, unnest({words.format("body")}) AS term FROM template) LEFT JOIN idf USING (term) GROUP BY ALL),
+    lengths AS (SELECT side, template, sqrt(sum(value * value)) AS length FROM entry GROUP BY ALL),
+    sizes AS (SELECT template, len({words.format("body")}) AS size FROM template WHERE side = 'opened'),
+    cut AS (SELECT r, unnest(list_filter(list_transform(string_split(text, chr(10)), lambda l: {words.format("l")}), lambda w: len(w) > 0)) AS words,
+      generate_subscripts(list_filter(list_transform(string_split(text, chr(10)), lambda l: {words.format("l")}), lambda w: len(w) > 0), 1) AS i FROM held),
+    line AS (SELECT r, i, words, sum(len(words)) OVER (PARTITION BY r ORDER BY i) AS upto,
+      len(list_intersect(words, (SELECT list(DISTINCT term) FROM entry WHERE side = 'told'))) > 0 AS known FROM cut),
+    runs AS (SELECT a.r, a.i AS first, b.i AS last FROM line a JOIN line b ON a.r = b.r AND a.known AND b.known AND b.i >= a.i AND b.i <= a.i + {longest}
+      AND (a.i = b.i OR b.upto - a.upto + len(a.words) <= {longest})),
+    units AS (SELECT r, 'run' AS kind, NULL AS template, first, last, (SELECT flatten(list(l.words ORDER BY l.i)) FROM line l
+        WHERE l.r = runs.r AND l.i BETWEEN first AND last) AS words FROM runs
+      UNION ALL SELECT r, 'start', template, 0, 0, list_slice({words.format("text")}, 1, size) FROM held, sizes WHERE len({words.format("text")}) > 0
+      UNION ALL SELECT r, 'whole', NULL, 0, 0, {words.format("text")} FROM held WHERE len({words.format("text")}) > 0),
+    numbered AS (SELECT row_number() OVER () AS u, * FROM units),
+    own AS (SELECT u, term, (1 + ln(count(*))) * any_value(idf.idf) AS own FROM (SELECT u, unnest(words) AS term FROM numbered) JOIN idf USING (term) GROUP BY u, term),
+    squares AS (SELECT u, sum(own * own) AS square FROM own GROUP BY u),
+    cosines AS (SELECT u, side, template, licence, round(dot / (length * sqrt(square)), 9) AS cosine
+      FROM (SELECT u, side, template, licence, sum(own * value) AS dot FROM own JOIN entry USING (term) GROUP BY ALL)
+      JOIN lengths USING (side, template) JOIN squares USING (u)),
+    noticed AS (SELECT r, first, last, licence, cosine FROM cosines JOIN numbered n USING (u)
+      WHERE n.kind = 'run' AND side = 'told' AND cosine >= {LINE_COSINE}),
+    covered AS (SELECT *, unnest(generate_series(first, last)) AS i FROM noticed),
+    per_line AS (SELECT * FROM covered QUALIFY row_number() OVER (PARTITION BY r, i ORDER BY cosine DESC, last - first, first, licence) = 1),
+    spoken AS (SELECT r, string_agg(DISTINCT licence, ',' ORDER BY licence) AS notices FROM per_line GROUP BY r),
+    notice AS (SELECT r, licence, cosine FROM per_line QUALIFY row_number() OVER (PARTITION BY r ORDER BY cosine DESC, licence) = 1),
+    whole AS (SELECT r, c.template FROM cosines c JOIN numbered n USING (u) WHERE n.kind = 'whole' AND side = 'opened' AND cosine >= {FILE_COSINE}),
+    filed AS (SELECT n.r, licence, cosine FROM cosines c JOIN numbered n USING (u) JOIN whole w ON w.r = n.r AND w.template = c.template
+      WHERE n.kind = 'start' AND side = 'opened' AND c.template = n.template AND cosine >= {LINE_COSINE}
+      QUALIFY row_number() OVER (PARTITION BY n.r ORDER BY cosine DESC, licence) = 1),
+    spoken_for AS (SELECT dir, licence FROM (SELECT dir, licence, count(*) AS n FROM filed JOIN held USING (r) GROUP BY ALL)
       QUALIFY row_number() OVER (PARTITION BY dir ORDER BY n DESC, licence) = 1),
-    heirs AS (SELECT d.dir, s.dir AS from_dir, s.licence FROM (SELECT DISTINCT dir FROM held) d JOIN spoken s
+    heirs AS (SELECT d.dir, s.dir AS from_dir, s.licence FROM (SELECT DISTINCT dir FROM held) d JOIN spoken_for s
       ON s.dir = '' OR d.dir = s.dir OR starts_with(d.dir, s.dir || '/')
       QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(s.dir) DESC) = 1)
-    SELECT h.doc_id, h.path, coalesce(b.licence, i.licence) AS license,
-      CASE WHEN b.r IS NOT NULL THEN CASE WHEN b.is_file THEN 'file' ELSE 'notice' END
-        WHEN i.licence IS NOT NULL THEN 'inherited' END AS basis,
-      b.cosine, coalesce(l.notices, '') AS notices, CASE WHEN b.r IS NULL THEN i.from_dir END AS from_dir
-    FROM held h LEFT JOIN best b USING (r) LEFT JOIN listed l USING (r) LEFT JOIN heirs i ON h.dir = i.dir"""
+    SELECT h.doc_id, h.path, coalesce(f.licence, n.licence, i.licence) AS license,
+      CASE WHEN f.r IS NOT NULL THEN 'file' WHEN n.r IS NOT NULL THEN 'notice' WHEN i.licence IS NOT NULL THEN 'inherited' END AS basis,
+      coalesce(f.cosine, n.cosine) AS cosine, coalesce(s.notices, '') AS notices,
+      CASE WHEN f.r IS NULL AND n.r IS NULL THEN i.from_dir END AS from_dir
+    FROM held h LEFT JOIN filed f USING (r) LEFT JOIN notice n USING (r) LEFT JOIN spoken s USING (r) LEFT JOIN heirs i ON h.dir = i.dir"""
 
 
 @query("op10_licenses", _licence_sql())
