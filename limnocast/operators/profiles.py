@@ -22,6 +22,8 @@ PROFILE_KEY = [
 METRICS = ["Ws", "M1", "M2", "eta", "m_ratio", "z_therm", "z_n2", "n2_max", "b_var"]
 # Depth levels that still make one aggregate.
 MAX_LEVELS = 64
+# Stands for the points of a profile that are no peak.
+NO_PEAK = -1
 # Below this a spread of density counts as none, and ratios to it are null.
 FLAT = 1e-9
 
@@ -160,15 +162,15 @@ def _layers(resampled: DataFrame, dz: float) -> DataFrame:
     stands_out = (F.coalesce(c("here") > c("up"), F.lit(True))) & (
         F.coalesce(c("here") >= c("down"), F.lit(True))
     )
-    layer = F.struct(
-        i.alias("i"),
-        c("here").alias("g"),
-        P.layer_depth(c("up"), c("here"), c("down"), i, dz).alias("depth"),
-    )
     return (
         resampled.withColumns({"up": up, "here": here, "down": down})
-        .withColumns({"layer": layer, "n2": P.buoyancy_frequency(c("rho"), c("here"))})
-        .withColumn("peak", F.when(c("here").isNotNull() & stands_out, c("layer")))
+        .withColumns(
+            {
+                "n2": P.buoyancy_frequency(c("rho"), c("here")),
+                "peak": F.when(c("here").isNotNull() & stands_out, i).otherwise(NO_PEAK),
+            }
+        )
+        .withColumn("peak_depth", F.when(c("peak") >= 0, P.layer_depth(c("up"), c("here"), c("down"), i, dz)))
         .drop("up", "down", "rho_above", "rho_second")
     )
 
@@ -193,8 +195,9 @@ def profile_integrals(
     """One row per profile: integrals over the lake, moments, and the layers.
 
     Everything is a sum or maximum over grid points, so rows are combined as they are
-    generated. Densities are taken relative to the surface, which keeps small
-    differences exact.
+    generated: to one row for each of a profile's few peaks, and one for all other points. Those are numbers of fixed
+    width, which stay in generated code; only the handful of rows left of a profile is gathered.
+    Densities are taken relative to the surface, which keeps small differences exact.
     """
     keys = [c for c in resampled.columns if c not in GRID_COLUMNS]
     c = F.col
@@ -204,27 +207,35 @@ def profile_integrals(
     middle = (c("i") + F.lit(0.5)) * F.lit(dz)
     if clip_negative:
         n2 = F.greatest(n2, F.lit(0.0))
-    sums = _layers(resampled, dz).groupBy(*keys).agg(
-        F.max("surface_rho").alias("surface_rho"),
-        F.max("steps").alias("steps"),
-        F.max("temperature").alias("warmest"),
+    highest = {"surface_rho": c("surface_rho"), "steps": c("steps"), "warmest": c("temperature"), "top_area": a, "n2_max": c("n2")}
+    added = {
+        "volume": w * a,
+        "volume_z": w * a * z,
+        "excess": w * a * x,
+        "excess_z": w * a * z * x,
+        "weight": a,
+        "a_z": a * z,
+        "a_zz": a * z * z,
+        "a_x": a * x,
+        "a_zx": a * z * x,
+        "a_zzx": a * z * z * x,
+        "a_xx": a * x * x,
+        "n2_sum": n2,
+        "n2_moment": n2 * middle,
+    }
+    parts = _layers(resampled, dz).groupBy(*keys, "peak").agg(
+        *[F.max(e).alias(n) for n, e in highest.items()],
+        *[F.sum(e).alias(n) for n, e in added.items()],
         F.min("temperature").alias("coldest"),
-        F.max(a).alias("top_area"),
-        F.sum(w * a).alias("volume"),
-        F.sum(w * a * z).alias("volume_z"),
-        F.sum(w * a * x).alias("excess"),
-        F.sum(w * a * z * x).alias("excess_z"),
-        F.sum(a).alias("weight"),
-        F.sum(a * z).alias("a_z"),
-        F.sum(a * z * z).alias("a_zz"),
-        F.sum(a * x).alias("a_x"),
-        F.sum(a * z * x).alias("a_zx"),
-        F.sum(a * z * z * x).alias("a_zzx"),
-        F.sum(a * x * x).alias("a_xx"),
-        F.max("n2").alias("n2_max"),
-        F.sum(n2).alias("n2_sum"),
-        F.sum(n2 * middle).alias("n2_moment"),
-        F.collect_list("peak").alias("peaks"),
+        F.max(F.when(c("peak") >= 0, c("here"))).alias("g"),
+        F.max("peak_depth").alias("depth"),
+    )
+    layer = F.struct(c("peak").alias("i"), "g", "depth")
+    sums = parts.groupBy(*keys).agg(
+        *[F.max(n).alias(n) for n in highest],
+        *[F.sum(n).alias(n) for n in added],
+        F.min("coldest").alias("coldest"),
+        F.collect_list(F.when(c("peak") >= 0, layer)).alias("peaks"),
     )
     mass = c("volume") * c("surface_rho") + c("excess")
     z_volume = c("volume_z") / c("volume")
