@@ -54,15 +54,15 @@ def vector(words: list[str], weight: dict[str, float]) -> dict[str, float]:
     return {w: (1 + math.log(n)) * weight[w] for w, n in sorted(Counter(words).items())}
 
 
-def leading_terms(vectors: list[dict[str, float]], cosine: float) -> list[str]:
+def leading_terms(vectors: list[dict[str, float]], cosine: float, held: dict[str, int]) -> list[str]:
     """Terms of which every vector that reaches ``cosine`` to one of ``vectors`` holds one.
 
     By Cauchy and Schwarz the terms shared with a template must carry ``cosine ** 2`` of its squared length. So
-    its heaviest terms are taken until the others carry less than that.
+    its terms, those that the fewest documents hold first, are taken until the others carry less than that.
     """
     out: set[str] = set()
     for weights in vectors:
-        order = sorted(weights, key=lambda w: (-weights[w], w))
+        order = sorted(weights, key=lambda w: (held.get(w, 0), -weights[w], w))
         left = sum(x * x for x in weights.values())
         least = cosine**2 * left * (1 - 1e-9)
         for word in order:
@@ -121,8 +121,8 @@ def scan(
 
     where = F.coalesce(path, F.lit(""))
     words = _words(F.col(text_col))
-    leads = _literal(leading_terms(told_vectors, line_cosine))
-    file_leads = _literal(leading_terms(opened_vectors, line_cosine))
+    leads = _literal(leading_terms(told_vectors, line_cosine, few))
+    file_leads = _literal(leading_terms(opened_vectors, line_cosine, few))
     lines = F.filter(F.transform(F.split(text_col, "\n"), _words), lambda x: F.size(x) > 0)
     held = docs.select(
         F.monotonically_increasing_id().alias("row"),

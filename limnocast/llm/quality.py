@@ -110,7 +110,7 @@ def _table(texts: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def _train(docs: DataFrame, labels: DataFrame, train_rows: int) -> Trees:
-    """Trees fitted on at most about ``train_rows`` of the labelled ``docs(id, body)``."""
+    """Trees fitted on about ``train_rows`` of the labelled ``docs(id, body)``, one row for each id chosen."""
     marks = labels.where("target is not null and id is not null").groupBy("id").agg(F.avg("target").alias("target"))
     share = min(1.0, train_rows / max(1, marks.count()))
     # One row for each id that the sample holds, so its size is bounded and it can go to every task.
@@ -121,8 +121,11 @@ def _train(docs: DataFrame, labels: DataFrame, train_rows: int) -> Trees:
             stats = pa.array(_table(batch["body"]).tolist(), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch["id"], batch["target"], stats], names=["id", "target", "stats"])
 
-    found = docs.join(F.broadcast(chosen), "id").select("id", "target", "body")
-    rows = found.mapInArrow(run, "id long, target double, stats array<double>").limit(2 * train_rows).collect()
+    found = docs.join(F.broadcast(chosen), "id").groupBy("id").agg(
+        F.min_by(F.struct("target", "body"), F.xxhash64("body")).alias("row")
+    )
+    found = found.select("id", "row.target", "row.body")
+    rows = found.mapInArrow(run, "id long, target double, stats array<double>").collect()
     rows.sort(key=lambda r: (r["id"], r["stats"], r["target"]))
     stats = np.array([r["stats"] for r in rows], np.float64).reshape(-1, len(STATISTICS))
     return fit(stats, np.array([r["target"] for r in rows], np.float64))
@@ -141,7 +144,7 @@ def score_quality(
     """``(id, held_out, score, predicted)`` per row of ``docs``; with ``keep``, those columns of ``docs`` in place of the id.
 
     Trees learn from rows of ``labels(id, label)`` whose ``crc32(id as text) mod 5`` is not 0: a bounded sample, the
-    mean of an id with several labels. A null label or id teaches nothing and a null id is not held out. A null
+    mean of an id with several labels, and of rows that share an id the text of the least hash. A null label or id teaches nothing and a null id is not held out. A null
     text counts as empty, and an empty text has a score too. Every row is scored by its whole text and nothing
     else; repeated rows each get a row. With no labels every score is one half; empty ``docs`` give an empty result.
     """

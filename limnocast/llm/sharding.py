@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import product
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,8 +12,6 @@ from limnocast.session import checkpointed
 SHARDS = 16
 #: Bits of each dimension on the curve: sixteen levels of about equally many rows each.
 BITS = 4
-#: Bytes of a string, after what all strings of the column begin with, that order it on the curve.
-STRING_BYTES = 6
 
 
 def hilbert_index(point: tuple[int, ...], bits: int) -> int:
@@ -45,40 +43,80 @@ def hilbert_index(point: tuple[int, ...], bits: int) -> int:
     return place
 
 
-def _codes(rows: DataFrame, dims: list[str]) -> list[Column]:
-    """A long or double for each dimension that keeps its order; null comes first."""
-    kinds = dict(rows.dtypes)
-    texts = [d for d in dims if kinds[d] == "string"]
-    ends = rows.agg(*(f(d).alias(f"{f.__name__}_{i}") for i, d in enumerate(texts) for f in (F.min, F.max))).head() if texts else None
-    out = []
-    for d in dims:
-        if kinds[d] != "string":
-            out.append(F.coalesce(F.col(d).cast("double"), F.lit(float("-inf"))))
-            continue
-        low, high = ((ends[f"{f}_{texts.index(d)}"] or "").encode() for f in ("min", "max"))
-        same = next((i for i, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), min(len(low), len(high)))
-        part = F.rpad(F.hex(F.substring(F.col(d).cast("binary"), same + 1, STRING_BYTES)), 2 * STRING_BYTES, "0")
-        out.append(F.coalesce(F.conv(part, 16, 10).cast("double"), F.lit(-1.0)))
-    return out
+def hilbert_indices(points: np.ndarray, bits: int) -> np.ndarray:
+    """``hilbert_index`` of each row of ``points``."""
+    number, n = points.shape
+    full = (1 << n) - 1
 
+    def left(x: np.ndarray, by: np.ndarray) -> np.ndarray:
+        by = by % n
+        return (x << by | x >> (n - by)) & full
 
-def _on_curve(rows: DataFrame, dims: list[str], bits: int) -> DataFrame:
-    """``rows`` with ``curve``, the place of their cell; levels are quantiles over all rows."""
-    codes = _codes(rows, dims)
+    place, entry, axis = (np.zeros(number, np.int64) for _ in range(3))
+    ones = np.array([(~x & (x + 1)).bit_length() - 1 for x in range(full + 1)])
+    for level in reversed(range(bits)):
+        corner = sum((points[:, i] >> level & 1) << i for i in range(n))
+        rank = turned = left(corner ^ entry, -(axis + 1))
+        for _ in range(n):
+            turned = turned >> 1
+            rank = rank ^ turned
+        place = place << n | rank
+        low = np.where(rank == 0, 0, (rank - 1) & ~1)
+        entry = entry ^ left(low ^ low >> 1, axis + 1)
+        axis = (axis + 1 + np.where(rank == 0, 0, ones[np.where(rank & 1, rank, rank - 1)])) % n
+    return place
+
+
+def _text_cuts(rows: DataFrame, name: str, levels: int) -> list[str | None]:
+    """Strings at which a column is cut into levels of about equally many rows; null where nulls fill the levels below.
+
+    Distinct values are counted, dealt into ranges in their order and accumulated: by range first, then inside.
+    """
+    counted = rows.groupBy(name).agg(F.count("*").alias("n"))
+    dealt = counted.where(F.col(name).isNotNull()).repartitionByRange(F.col(name)).withColumn("range", F.spark_partition_id())
+    dealt = checkpointed(dealt)
+    sums = rows.agg(F.count("*").alias("all"), F.count(F.when(F.col(name).isNull(), 1)).alias("nulls")).head()
+    # One row per range of the sort.
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = dealt.groupBy("range").agg(F.sum("n").alias("n")).select("range", earlier.alias("earlier"))
+    inside = F.sum("n").over(Window.partitionBy("range").orderBy(name).rowsBetween(Window.unboundedPreceding, 0))
+    upto = dealt.withColumn("inside", inside).join(offsets, "range").withColumn("upto", F.col("earlier") + F.col("inside") + sums["nulls"])
+    steps = [sums["all"] * i / levels for i in range(1, levels)]
+    cuts = upto.agg(*[F.min(F.when(F.col("upto") >= step, F.col(name))).alias(f"q{i}") for i, step in enumerate(steps)]).head()
+    return [None if sums["nulls"] >= step else cut for step, cut in zip(steps, cuts, strict=True)]
+
+
+def _levels(rows: DataFrame, dims: list[str], bits: int) -> list[Column]:
+    """The level of a row in each dimension: quantiles over all rows, null first, equal cuts once."""
+    kinds, out = dict(rows.dtypes), {}
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = rows.agg(*(F.percentile_approx(c, steps, 10_000).alias(f"q{i}") for i, c in enumerate(codes))).head()
-    levels = []
-    for i, code in enumerate(codes):
+    codes = {d: F.coalesce(F.col(d).cast("double"), F.lit(float("-inf"))) for d in dims if kinds[d] != "string"}
+    numbers = rows.agg(*(F.percentile_approx(c, steps, 10_000).alias(d) for d, c in codes.items())).head() if codes else {}
+    for d in dims:
         level = F.lit(0)
-        for cut in sorted(set(cuts[i] or [])):
-            level = level + (code > cut).cast("int")
-        levels.append(level.alias(f"_l{i}"))
-    # Every cell of the grid with its place: a table whose size is set by ``bits`` alone.
-    cells = [(*point, hilbert_index(point, bits)) for point in product(range(1 << bits), repeat=len(dims))]
-    kinds = ", ".join([*(f"_l{i} int" for i in range(len(dims))), "curve long"])
-    grid = rows.sparkSession.createDataFrame(cells, kinds)
-    names = [f"_l{i}" for i in range(len(dims))]
-    return rows.select("*", *levels).join(F.broadcast(grid), names).drop(*names)
+        if d in codes:
+            for cut in sorted(set(numbers[d] or [])):
+                level = level + (codes[d] > cut).cast("int")
+        else:
+            cuts = set(_text_cuts(rows, d, 1 << bits))
+            if None in cuts:
+                level = level + F.col(d).isNotNull().cast("int")
+            for cut in sorted(cuts - {None}):
+                level = level + F.coalesce(F.col(d) > cut, F.lit(False)).cast("int")
+        out[d] = level
+    return [out[d] for d in dims]
+
+
+def _on_curve(rows: DataFrame, dims: list[str], bits: int) -> DataFrame:
+    """``rows`` with ``curve``, the place of their cell."""
+    if bits * len(dims) > 62:
+        raise ValueError("a place on the curve of so many dimensions does not fit 64 bits")
+
+    @F.pandas_udf("long")
+    def place(*levels: pd.Series) -> pd.Series:
+        return pd.Series(hilbert_indices(np.stack([x.to_numpy(np.int64) for x in levels], axis=1), bits))
+
+    return rows.withColumn("curve", place(*_levels(rows, dims, bits)))
 
 
 def _ranked(rows: DataFrame, keys: list[str]) -> DataFrame:

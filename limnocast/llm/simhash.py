@@ -28,6 +28,8 @@ SEED = 42
 FAN = 8
 #: Rows under one upper node beyond which more bits are pinned.
 NODE_ROWS = 1 << 15
+#: Numbers of rows that every task may hold to tell which rows go.
+HELD_ROWS = 1_000_000
 #: Bytes of text and pairs of nodes that are worked on at a time.
 BLOCK_BYTES, BLOCK_PAIRS = 1 << 22, 1 << 14
 
@@ -276,5 +278,8 @@ def without_near_duplicates(
     best = F.min(F.struct(F.col("id").isNull().alias("bare"), "id", "row"))
     firsts = hashed.groupBy("print").agg(best.alias("best"))
     placed = firsts.join(_components(hashed, max_bits, NODE_ROWS), "print")
-    stays = placed.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row))
-    return marked.join(stays, row, "left_semi").drop(row)
+    stays = placed.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias("row"))
+    goes = checkpointed(hashed.select("row").join(stays, "row", "left_anti").withColumnRenamed("row", row))
+    # Numbers of the rows that go; where they are few enough to hold, no text is moved.
+    few = goes.count() <= HELD_ROWS
+    return marked.join(F.broadcast(goes) if few else goes, row, "left_anti").drop(row)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-#: Levels of a path that the tree keeps apart; what is deeper is one last segment.
-DEPTH = 4
+#: A general path with more than one in so many pages has its pages spread over so many tasks when they meet its verdict.
+HOT_ONE_IN, SALTS = 1000, 64
 #: A node with more children than this has variable segments: those below this share of the node.
 CHILDREN, RARE_SHARE = 20, 0.05
 #: Siblings whose shares of bad pages differ by less than this many standard errors are one branch.
@@ -54,23 +56,20 @@ def _sums() -> list[Column]:
     return [F.sum(c).alias(c) for c in ("pages", "labelled", "bad")]
 
 
-def _segments(path: Column, depth: int) -> Column:
-    """The path's segments with runs of digits and hex ids made general, and the tail beyond ``depth`` as one."""
-    parts = F.filter(F.split(path, "/"), lambda x: x != "")
-    general = F.transform(
-        F.slice(parts, 1, depth),
+def _segments(path: Column) -> Column:
+    """The path's segments with runs of digits and hex ids made general."""
+    return F.transform(
+        F.filter(F.split(path, "/"), lambda x: x != ""),
         lambda x: F.regexp_replace(
             F.regexp_replace(x, r"(?i)(?<![0-9a-z])(?=[0-9a-f-]*[0-9])[0-9a-f-]{12,}(?![0-9a-z])", "<id>"), "[0-9]+", "<n>"
         ),
     )
-    return F.when(F.size(parts) > depth, F.concat(general, F.array(F.lit("**")))).otherwise(general)
 
 
-def _branches(tree: DataFrame, level: int, children: int, rare_share: float, z_same: float) -> DataFrame:
-    """``(host, prefix, child, branch)``: the branch that each child at ``level`` of the tree belongs to."""
+def _branches(child: DataFrame, children: int, rare_share: float, z_same: float) -> DataFrame:
+    """``(host, prefix, child, branch)``: the branch that each child of a node belongs to."""
     node = ["host", "prefix"]
     sums = _sums()
-    child = tree.withColumn("child", F.coalesce(F.get("segments", level), F.lit("")))
     kids = child.groupBy(*node, "child").agg(*sums)
     whole = kids.groupBy(*node).agg(F.count("*").alias("kinds"), F.sum("pages").alias("total"))
     rare = (F.col("kinds") > children) & (F.col("pages") < rare_share * F.col("total")) & (F.col("child") != "")
@@ -91,34 +90,51 @@ def _branches(tree: DataFrame, level: int, children: int, rare_share: float, z_s
     return named.select(*node, "child", F.coalesce("joint", "general").alias("branch"))
 
 
-def templates(
-    pages: DataFrame, depth: int = DEPTH, children: int = CHILDREN, rare_share: float = RARE_SHARE, z_same: float = Z_SAME
-) -> DataFrame:
+def templates(pages: DataFrame, children: int = CHILDREN, rare_share: float = RARE_SHARE, z_same: float = Z_SAME) -> DataFrame:
     """``(host, segments, template, labelled, bad)`` for the ``pages(host, path, label)``; ``label`` is 1 bad, 0 good or null.
 
-    Equal general paths collapse first. Level by level, the rare children of a node with many are made one
+    Equal general paths collapse first. Level by level, down to the last segment, the rare children of a node with many are made one
     wildcard, and branches whose shares of bad pages are alike are joined, so their subtrees grow together.
     ``labelled`` and ``bad`` count the pages of the whole template.
     """
-    general = pages.select("host", _segments(F.col("path"), depth).alias("segments"), "label")
-    return _grow(general.groupBy("host", "segments").agg(*_counts()), depth, children, rare_share, z_same)
+    general = pages.select("host", _segments(F.col("path")).alias("segments"), "label")
+    return _grow(general.groupBy("host", "segments").agg(*_counts()), children, rare_share, z_same)
 
 
-def _grow(
-    counted: DataFrame, depth: int, children: int = CHILDREN, rare_share: float = RARE_SHARE, z_same: float = Z_SAME
-) -> DataFrame:
-    """The templates of ``counted(host, segments, pages, labelled, bad)``, a row for each general path of a host or domain."""
-    tree = checkpointed(counted).withColumn("prefix", F.lit(""))
-    for level in range(depth + 1):
-        if tree.where(F.size("segments") > level).isEmpty():
-            break
-        branches = _branches(tree, level, children, rare_share, z_same)
-        child = tree.withColumn("child", F.coalesce(F.get("segments", level), F.lit("")))
-        step = F.when(F.col("child") != "", F.concat("prefix", F.lit("/"), "branch")).otherwise(F.col("prefix"))
-        tree = child.join(branches, ["host", "prefix", "child"]).withColumn("prefix", step).drop("child", "branch")
+def _grow(counted: DataFrame, children: int = CHILDREN, rare_share: float = RARE_SHARE, z_same: float = Z_SAME) -> DataFrame:
+    """The templates of ``counted(host, segments, pages, labelled, bad)``, a row for each general path of a host or domain.
+
+    Every round takes the nodes that still branch one level down. What all paths of a node have in common is passed at
+    once, and a node with one path is done, so there are as many rounds as a path has forks and not as it has segments.
+    """
+    node = ["host", "prefix"]
+    done = []
+    tree = checkpointed(counted).withColumns({"prefix": F.lit(""), "rest": F.col("segments")})
+    while True:
+        ends = tree.groupBy(*node).agg(F.min("rest").alias("low"), F.max("rest").alias("high"))
+        common = F.expr("size(filter(sequence(0, size(low)), k -> slice(low, 1, k) = slice(high, 1, k))) - 1")
+        ends = ends.select(*node, F.slice("low", F.lit(1), common).alias("common"), (F.col("low") == F.col("high")).alias("alone"))
+        tree = tree.join(ends, node)
+        tree = tree.withColumns(
+            {
+                "prefix": F.concat("prefix", F.array_join(F.transform("common", lambda x: F.concat(F.lit("/"), x)), "")),
+                "rest": F.slice("rest", F.size("common") + 1, F.size("rest")),
+            }
+        ).drop("common")
+        over = F.col("alone") | (F.size("rest") == 0)
         tree = checkpointed(tree)
-    total = tree.groupBy("host", "prefix").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    return tree.select("host", "prefix", "segments").join(total, ["host", "prefix"]).withColumnRenamed("prefix", "template")
+        # A path that ends at a fork is still one of the fork's children.
+        forks = tree.where(~F.col("alone"))
+        done.append(tree.where(over).drop("alone", "rest"))
+        if forks.isEmpty():
+            break
+        child = forks.withColumn("child", F.coalesce(F.get("rest", 0), F.lit("")))
+        branches = _branches(child, children, rare_share, z_same)
+        step = child.where("child <> ''").join(branches, [*node, "child"]).withColumn("prefix", F.concat("prefix", F.lit("/"), "branch"))
+        tree = checkpointed(step.withColumn("rest", F.slice("rest", F.lit(2), F.size("rest"))).drop("child", "branch", "alone"))
+    whole = reduce(DataFrame.union, done)
+    total = whole.groupBy(*node).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    return whole.select(*node, "segments", "pages").join(total, node).withColumnRenamed("prefix", "template")
 
 
 def _domains(host: Column) -> Column:
@@ -131,28 +147,33 @@ def _domains(host: Column) -> Column:
     return F.when(F.size(parts) > 1, above).otherwise(F.array().cast("array<string>"))
 
 
-def evidence(pages: DataFrame, depth: int = DEPTH, least_labelled: int = LEAST_LABELLED) -> DataFrame:
-    """``(host, segments, template, labelled, bad, source)``: what speaks for each general path of ``pages(host, path, label)``.
+def evidence(pages: DataFrame, least_labelled: int = LEAST_LABELLED) -> DataFrame:
+    """``(host, segments, template, pages, labelled, bad, source, above)``: what speaks for each general path of ``pages(host, path, label)``.
 
     A host's own template speaks if ``least_labelled`` of its pages are labelled; else that of the nearest domain
     above it with so many, in a tree over all hosts of that domain; else the host's own. ``template`` is always the host's
-    own, ``source`` the host or domain (with a dot before it) that speaks. Nothing is shared beyond the last label of a host.
+    own, ``source`` the host or domain (with a dot before it) that speaks, ``above`` the share of bad pages of the nearest domain
+    above the host with so many labels, if any. Nothing is shared beyond the last label of a host.
     """
-    general = pages.select("host", _segments(F.col("path"), depth).alias("segments"), "label")
+    general = pages.select("host", _segments(F.col("path")).alias("segments"), "label")
     # Equal paths collapse before they are copied to the domains, so a hot host costs one row for each path.
     counted = checkpointed(general.groupBy("host", "segments").agg(*_counts()))
     copies = counted.withColumn("host", F.explode(F.concat(F.array("host"), _domains(F.col("host")))))
-    known = checkpointed(_grow(copies.groupBy("host", "segments").agg(*_sums()), depth))
+    known = checkpointed(_grow(copies.groupBy("host", "segments").agg(*_sums())))
     own = counted.select("host", "segments").join(known, ["host", "segments"])
     weak = own.where(F.col("labelled") < least_labelled)
     above = weak.select("host", "segments", F.posexplode(_domains(F.col("host"))).alias("up", "source"))
     strong = known.where(F.col("labelled") >= least_labelled).select(F.col("host").alias("source"), "segments", "labelled", "bad")
     near = above.join(strong, ["source", "segments"]).groupBy("host", "segments")
     near = near.agg(F.min(F.struct("up", "source", "labelled", "bad")).alias("near"))
-    return own.join(near, ["host", "segments"], "left").select(
-        "host", "segments", "template", *(F.coalesce(f"near.{c}", c).alias(c) for c in ("labelled", "bad")),
-        F.coalesce("near.source", "host").alias("source"),
-    )
+    marks = copies.groupBy("host").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    marks = marks.where(F.col("labelled") >= least_labelled).select(F.col("host").alias("source"), (F.col("bad") / F.col("labelled")).alias("share"))
+    hosts = counted.select("host").distinct().select("host", F.posexplode(_domains(F.col("host"))).alias("up", "source"))
+    parents = hosts.join(marks, "source").groupBy("host").agg(F.min(F.struct("up", "share")).alias("parent"))
+    return own.join(near, ["host", "segments"], "left").join(parents, "host", "left").select(
+        "host", "segments", "template", "pages", *(F.coalesce(f"near.{c}", c).alias(c) for c in ("labelled", "bad")),
+        F.coalesce("near.source", "host").alias("source"), F.col("parent.share").alias("above"),
+    )
 
 
 def judge(
@@ -161,7 +182,6 @@ def judge(
     labels: DataFrame | None = None,
     id_col: str = "page_id",
     url_col: str = "url",
-    depth: int = DEPTH,
     purity: float = PURITY,
     smoothing: float = SMOOTHING,
     least_labelled: int = LEAST_LABELLED,
@@ -170,7 +190,7 @@ def judge(
 
     The longest rule that fits decides. Elsewhere the page's template does, or, where too few of its pages are labelled, that of
     the nearest domain above its host (see ``evidence``): the page is blocked if enough pages are labelled and their
-    smoothed share of bad ones, ``purity``, reaches the bound, else allowed. Labels are those of
+    share of bad ones, smoothed by that of the domain above or else of all pages, ``purity``, reaches the bound, else allowed. Labels are those of
     ``labels(page_id, bad)``, or, without it, the verdicts of the rules on the pages that they decide. A null URL, or one
     without ``://``, has an empty host and path. Null labels and ids of labels are ignored; a page with several labels
     counts as bad if any says so. Repeated rows each get a row. An empty table gives an empty result.
@@ -184,11 +204,18 @@ def judge(
     else:
         marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
         parsed = parsed.join(marks.agg(F.max(F.col("bad").cast("long")).alias("label")), "id", "left")
-    known = evidence(parsed.select("host", "path", "label"), depth, least_labelled)
+    known = checkpointed(evidence(parsed.select("host", "path", "label"), least_labelled))
     mean = parsed.agg((F.sum("label") / F.count("label")).alias("mean"))
     average = F.coalesce(F.lit(mean.head()[0]).cast("double"), F.lit(0.0))
-    judged = parsed.withColumn("segments", _segments(F.col("path"), depth)).join(known, ["host", "segments"])
-    smooth = (F.col("bad") + average * smoothing) / (F.col("labelled") + smoothing)
+    # At most HOT_ONE_IN paths can hold more than one in HOT_ONE_IN pages; theirs are met in many tasks.
+    total = known.agg(F.sum("pages")).head()[0] or 0
+    keys = ["host", "segments"]
+    hot = F.broadcast(known.where(F.col("pages") * HOT_ONE_IN > total).select(*keys, F.lit(True).alias("hot")))
+    salts = F.when(F.col("pages") * HOT_ONE_IN > total, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id", "path", F.monotonically_increasing_id()), F.lit(SALTS))).otherwise(0).cast("int")
+    judged = parsed.withColumn("segments", _segments(F.col("path"))).join(hot, keys, "left").withColumn("salt", salt)
+    judged = judged.join(known.withColumn("salt", F.explode(salts)).drop("pages"), [*keys, "salt"])
+    smooth = (F.col("bad") + F.coalesce("above", average) * smoothing) / (F.col("labelled") + smoothing)
     rejected = (F.col("labelled") >= least_labelled) & (smooth >= purity)
     verdict = F.coalesce("says", F.when(rejected, "block").otherwise("allow"))
     return judged.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
@@ -17,17 +18,42 @@ _SPACES = re.compile(r"[\t\n\r ]+")
 CACHE_WORDS, BLOCK_CHARS = 300_000, 1 << 20
 
 
+#: The file's normalising and splitting steps that the patterns above stand for. Fixed values.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def _splits_as_above(file: dict) -> bool:
+    """Whether a tokenizer file splits texts into words as the patterns do, and encodes each word by itself."""
+    steps = (file.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    plain = all(not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) for t in file["added_tokens"])
+    return (
+        plain
+        and (file.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
+        and len(steps) == 2
+        and (steps[0].get("pattern"), steps[0].get("behavior"), steps[0].get("invert")) == ({"Regex": _SPLIT}, "Removed", True)
+        and (steps[1].get("type"), steps[1].get("add_prefix_space"), steps[1].get("use_regex")) == ("ByteLevel", False, False)
+        and file["model"]["type"] == "BPE"
+        and not file["model"].get("dropout")
+    )
+
+
 class WordTokens:
     """Ids as little-endian unsigned 32-bit words.
 
     The file drops white space and encodes each word by itself, so the ids of a text are those of its words in
     a row, and a word is encoded by the library only when it is not held yet. A stretch with other characters than
-    plain ones goes to the library as a whole.
+    plain ones goes to the library as a whole. Added tokens of the file, wherever they stand in a text, are one id and part it.
+    Texts of a file that splits in another way go to the library whole.
     """
 
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        file = json.loads(self._tokenizer.to_str())
+        self._by_words = _splits_as_above(file)
+        self._added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in file["added_tokens"]}
+        longest_first = sorted(self._added, key=lambda t: (-len(t), t))
+        self._parts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self._held: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
@@ -68,9 +94,18 @@ class WordTokens:
         return out
 
     def ids(self, text: str | None) -> bytes:
+        text = text or ""
+        if not self._by_words:
+            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if self._parts is None or not any(t in text for t in self._added):
+            return self._stretch(text)
+        return b"".join([self._added.get(part) or self._stretch(part) for part in self._parts.split(text)])
+
+    def _stretch(self, text: str) -> bytes:
+        """Ids of a stretch without added tokens."""
         out = []
         held = self._held
-        for block in self._blocks(text or ""):
+        for block in self._blocks(text):
             words = self._words(block)
             distinct = set(words)
             new = list(distinct.difference(held))

@@ -147,3 +147,63 @@ def test_subwords_do_not_depend_on_blocks(monkeypatch):
 def test_odd_texts_have_probabilities(text):
     model = train([(np.array([1]), np.array([1.0]), "x"), (np.array([2]), np.array([1.0]), "y")])
     assert np.isclose(model.probabilities(text).sum(), 1)
+
+
+def tongue(rng, n):
+    """Words of a made-up language: its own syllables."""
+    syllables = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(8)]
+    return lambda: " ".join(rng.choice(syllables) + rng.choice(syllables) for _ in range(n))
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(21)
+    rows = []
+    for k in range(300):
+        speak = tongue(rng, 60)
+        rows += [(len(rows) + i, speak(), f"l{k:03}") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    got = {r.doc_id: r for r in identify(docs).collect()}
+    assert len({r.lang_pred for r in got.values()}) == 300
+    held = [(r, lang) for i, _, lang in rows if (r := got[i]).held_out]
+    assert sum(r.lang_pred == lang for r, lang in held) > 0.9 * len(held)
+
+
+def test_the_sample_does_not_depend_on_order_repeats_or_null_ids(spark):
+    rng = random.Random(22)
+    speak = {lang: tongue(rng, 30) for lang in ("aa", "bb")}
+    rows = [(None if i % 2 else i, speak[lang](), lang) for i in range(300) for lang in speak]
+    rows += [rows[4]] * 400
+    kind = "doc_id long, text string, lang string"
+    found = []
+    for seed, parts in ((1, 1), (2, 5)):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, kind).repartition(parts)
+        found.append(sorted((str(r.doc_id), r.lang_pred, r.score) for r in identify(docs, train_docs=40).collect()))
+    assert found[0] == found[1]
+
+
+def test_bytes_of_the_sample_are_bounded(spark, monkeypatch):
+    from limnocast.llm import language_id
+
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda docs: seen.append(docs) or train(docs))
+    rng = random.Random(23)
+    speak = {f"l{k}": tongue(rng, 200) for k in range(3)}
+    rows = [(i, speak[lang](), lang) for i in range(40) for lang in speak]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    identify(docs, train_docs=90, train_bytes=60_000).count()
+    size = sum(6 * len(buckets) for buckets, _, _ in seen[0])
+    assert size <= 60_000 and len({lang for *_, lang in seen[0]}) == 3
+
+
+def test_quality_takes_one_text_for_an_id(spark):
+    rng = random.Random(24)
+    good, bad = "The lake is calm and clear today. ", "$$$ !!! buy buy %%% "
+    rows = [(i, (good if i % 2 else bad) * rng.randrange(3, 9)) for i in range(400)]
+    rows += [(1, bad)] * 500 + [(1, good)] * 3
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    found = []
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found.append(sorted((r.doc_id, r.score) for r in score_quality(docs, labels, train_rows=100).collect()))
+    assert found[0] == found[1]

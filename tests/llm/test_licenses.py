@@ -165,7 +165,7 @@ def test_leading_terms_miss_nothing():
     rng = random.Random(2)
     for _ in range(300):
         template = {w: rng.uniform(1, 5) for w in rng.sample("abcdefghij", rng.randrange(1, 8))}
-        lead = leading_terms([template], 0.8)
+        lead = leading_terms([template], 0.8, {w: rng.randrange(9) for w in template})
         shared = sum(x * x for w, x in template.items() if w not in lead)
         assert shared / math.sqrt(shared * sum(x * x for x in template.values()) or 1) < 0.8
 

@@ -3,10 +3,11 @@ import zlib
 from collections import defaultdict
 from itertools import pairwise, product
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from limnocast.llm.sharding import hilbert_index, manifest, shard, write_shards
+from limnocast.llm.sharding import hilbert_index, hilbert_indices, manifest, shard, write_shards
 
 
 @pytest.mark.parametrize("dims,bits", [(1, 3), (2, 4), (3, 3), (4, 2)])
@@ -16,6 +17,44 @@ def test_curve_visits_every_cell_by_single_steps(dims, bits):
     assert all(sum(abs(a - b) for a, b in zip(p, q, strict=True)) == 1 for p, q in pairwise(cells))
 
 
+    points = np.array(cells)
+    assert hilbert_indices(points, bits).tolist() == list(range(len(cells)))
+
+
+def plain_levels(values, cuts=16):
+    """Levels by the value at each sixteenth of the sorted column, equal cuts once, null first."""
+    key = lambda v: (v is not None, v if v is not None else 0)
+    order = sorted(values, key=key)
+    at = {key(order[-(-len(order) * i // cuts) - 1]) for i in range(1, cuts)}
+    return [sum(key(v) > c for c in at) for v in values]
+
+
+def test_placement_equals_a_plain_one(spark):
+    held = [(i, "z" * (i * 7919 % 6000), f"https://host{i * 31 % 200:03}.org", ["", "a", None, "bb"][i % 4]) for i in range(640)]
+    # One empty source must not make all others one level.
+    held.append((900, "z", "", "a"))
+    docs = spark.createDataFrame(held, "doc_id long, text string, source string, lang string")
+    got = sorted(shard(docs).collect(), key=lambda r: r.doc_id)
+    lang, source, size = (plain_levels(v) for v in ([h[3] for h in held], [h[2] for h in held], [len(h[1]) + 1 for h in held]))
+    assert len(set(source)) == 16 and max(source) == 15
+    want = [hilbert_index(p, 4) for p in zip(lang, source, size, strict=True)]
+    assert [r.curve for r in got] == want
+    order = sorted(range(len(held)), key=lambda i: (want[i], zlib.crc32(held[i][1].encode()), held[i][0]))
+    place = {i: n for n, i in enumerate(order)}
+    each, more = divmod(len(held), 16)
+    for i, r in enumerate(got):
+        at = place[i]
+        s = at // (each + 1) if at < more * (each + 1) else more + (at - more * (each + 1)) // each
+        assert (r.shard, r.slot) == (s, at - s * each - min(s, more))
+
+
+def test_many_dimensions_are_an_error_or_fit(spark):
+    docs = spark.createDataFrame([(i, "t", "a", "b") for i in range(20)], "doc_id long, text string, lang string, source string")
+    assert shard(docs, dims=("lang", "source", "doc_id", "lang", "source")).count() == 20
+    with pytest.raises(ValueError, match="64 bits"):
+        shard(docs, dims=("lang",) * 20)
+
+
 def rows(n, seed=1):
     rng = random.Random(seed)
     return [

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from limnocast.llm import sentence_pieces, word_tokens
 from limnocast.llm.packing import best_fit, lower_bound, pack, pack_documents
@@ -86,12 +86,28 @@ def test_words_equal_the_library(monkeypatch, block, cache):
     monkeypatch.setattr(word_tokens, "BLOCK_CHARS", block)
     monkeypatch.setattr(word_tokens, "CACHE_WORDS", cache)
     words, library = WordTokens(WORDS), Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     for text in random_texts(4, 1500):
         want = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         assert words.ids(text) == want, repr(text)
 
 
+def test_added_tokens_are_one_id():
+    words, library = WordTokens(WORDS), Tokenizer.from_file(WORDS)
+    for text in ("end <|endoftext|> next", "a<|startoftext|>b", "<|endoftext|><|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "é<|endoftext|>漢"):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.ids(text), "<u4").tolist() == ids, text
+    assert np.frombuffer(words.ids("end <|endoftext|> next"), "<u4").tolist() == [806, 49407, 1131]
+
+
+def test_another_file_goes_to_the_library(tmp_path):
+    changed = Tokenizer.from_file(WORDS)
+    changed.pre_tokenizer = pre_tokenizers.Whitespace()
+    changed.save(str(tmp_path / "other.json"))
+    words = WordTokens(str(tmp_path / "other.json"))
+    for text in ("it's a Test", "x<|endoftext|>y", ""):
+        assert np.frombuffer(words.ids(text), "<u4").tolist() == changed.encode(text, add_special_tokens=False).ids
+
+
 def test_lower_bound_is_one():
     rng = random.Random(5)
     for _ in range(200):
@@ -145,7 +161,6 @@ def test_pack_documents_against_the_library(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, piece int, _key int")
     got = pack_documents(docs, WORDS, 64).collect()
     library = Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     want = []
     for i, text, *_ in rows:
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]

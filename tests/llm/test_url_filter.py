@@ -33,20 +33,20 @@ def test_parts_and_rules(spark):
         assert (r.rule, r.verdict) == (rule if rule else (None, "allow")), url
 
 
-def plain_judge(pages, marks, depth=4, children=20, rare=0.05, z=1.64):
+def plain_judge(pages, marks, children=20, rare=0.05, z=1.64):
     """The tree by dictionaries: (page -> (template, verdict)) where no rule fits."""
 
     def general(path):
         parts = [p for p in path.split("/") if p]
         out = [
             re.sub("[0-9]+", "<n>", re.sub(r"(?i)(?<![0-9a-z])(?=[0-9a-f-]*[0-9])[0-9a-f-]{12,}(?![0-9a-z])", "<id>", p))
-            for p in parts[:depth]
+            for p in parts
         ]
-        return (*out, *(["**"] if len(parts) > depth else []))
+        return tuple(out)
 
     held = [(i, host, general(path), marks.get(i)) for i, host, path in pages]
     prefix = {i: "" for i, *_ in held}
-    for level in range(depth + 1):
+    for level in range(max(len(general(path)) for *_, path in pages)):
         nodes = defaultdict(lambda: defaultdict(lambda: [0, 0, 0]))
         for i, host, seg, mark in held:
             cell = nodes[host, prefix[i]][seg[level] if level < len(seg) else ""]
@@ -132,10 +132,32 @@ def test_repeats_nulls_and_empty(spark):
     assert len(RULES) == 5
 
 
-@pytest.mark.parametrize("depth", [1, 2])
-def test_depth(spark, depth):
-    frame = spark.createDataFrame([(1, "http://a.org/x/y/z")], "page_id long, url string")
-    assert judge(frame, depth=depth).head().template == "/" + "/".join([*"xy"[:depth], "**"])
+def test_paths_that_part_late_are_told_apart(spark):
+    rows = [(i, f"http://h.org/a/b/c/d/{kind}/x{i}/y") for i in range(40) for kind in [["spam", "news"][i % 2]]]
+    rows += [(100, "http://h.org/a/b/c/d/spam/x900/y"), (101, "http://h.org/a/b/c/d/news/x901/y"), (102, "http://h.org/" + "s/" * 700 + "z")]
+    rows += [(103, "http://h.org/" + "s/" * 700 + "q"), (104, "http://h.org/a/b/c/d")]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "page_id long, bad int")
+    got = {r.page_id: r for r in judge(spark.createDataFrame(rows, "page_id long, url string"), (), labels, purity=0.7).collect()}
+    assert {got[i].verdict for i in range(0, 40, 2)} == {"block"} and {got[i].verdict for i in range(1, 40, 2)} == {"allow"}
+    # Pages without a label of their own, decided by the tree alone.
+    assert (got[100].verdict, got[101].verdict, got[104].verdict) == ("block", "allow", "allow")
+    assert got[102].template == "/s" * 700 + "/z" and got[104].template == "/a/b/c/d"
+
+
+def test_smoothing_goes_towards_the_domain_above(spark):
+    rows = [(i, f"http://h{i}.bad.org/p{i}") for i in range(30)] + [(100 + i, f"http://h{i}.good.org/p{i}") for i in range(90)]
+    rows += [(200 + i, f"http://one.bad.org/q/{i}") for i in range(6)] + [(300 + i, f"http://one.good.org/q/{i}") for i in range(6)]
+    marks = [(i, 1) for i in range(30)] + [(100 + i, 0) for i in range(90)] + [(200 + i, 1) for i in range(6)] + [(300 + i, 1) for i in range(6)]
+    pages, labels = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(marks, "page_id long, bad int")
+    got = {r.page_id: r for r in judge(pages, (), labels, purity=0.8).collect()}
+    assert got[200].verdict == "block" and got[300].verdict == "allow"
+
+
+def test_a_hot_path_is_spread(spark):
+    pages = spark.range(20_000).selectExpr("id page_id", "if(id % 3 = 0, concat('http://a.net/es/', id), concat('http://h', id, '.org/p/x')) url")
+    out = judge(pages)
+    assert out.count() == 20_000 and out.where("verdict = 'block'").count() == 6667
+    assert out.groupBy("page_id").count().where("count > 1").isEmpty()
 
 
 def test_evidence_reaches_sibling_hosts(spark):

@@ -2,11 +2,12 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from limnocast.llm.embedding_dups import near_duplicates, tile_links
-from limnocast.llm.nearest import nearest, nearest_in_block
+from limnocast.llm.nearest import _block, nearest, nearest_in_block
 from limnocast.llm.vectors import Rounded
 
 
@@ -115,3 +116,41 @@ def test_very_near_and_very_far():
     rows = base + np.arange(30)[:, None] * 1e-7
     found = nearest_in_block(base, np.array([-1]), rows, np.arange(30), 3)
     assert [key for _, key in found[0]] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("size", [1e-200, 1.0, 1e200])
+def test_nearest_of_very_small_and_large_numbers(spark, size):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(120, 5)) * size
+    vectors[60:] *= 1e-90
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(frame, F.col("vec_id") % 10 == 0, candidate_rows=17, query_rows=5).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+
+    def distance(a, b):
+        """Plain sums of doubles, of differences brought near one by a power of two."""
+        apart = [y - x for x, y in zip(a, b, strict=True)]
+        power = math.frexp(max(map(abs, apart)))[1]
+        total = 0.0
+        for x in apart:
+            total += math.ldexp(x, -power) * math.ldexp(x, -power)
+        return math.ldexp(math.sqrt(total), power)
+
+    plain = vectors.tolist()
+    for q in range(0, 120, 10):
+        want = sorted((distance(plain[q], plain[i]), i) for i in range(120) if i != q)[:10]
+        assert [(score, i) for _, i, score in sorted(got[q])] == want
+
+
+def test_a_task_hands_on_no_more_than_it_is_asked_for():
+    rng = np.random.default_rng(6)
+    queries, blocks = rng.normal(size=(3, 4)), [rng.normal(size=(50, 4)) for _ in range(6)]
+    rows = [{"asks": True, "id": np.arange(3).tobytes(), "vector": queries.astype("<f8").tobytes(), "kind": "<f8"}]
+    rows += [{"asks": False, "id": (np.arange(50) + 100 * n).tobytes(), "vector": b.astype("<f8").tobytes(), "kind": "<f8"} for n, b in enumerate(blocks, 1)]
+    out = _block(pd.DataFrame(rows), 10)
+    assert len(out) == 30
+    every = np.concatenate(blocks)
+    for q in range(3):
+        want = np.sort(np.linalg.norm(every - queries[q], axis=1))[:10]
+        assert np.allclose(np.sort(out[out.query_id == q].score), want)
