@@ -6,8 +6,6 @@ the columns of ``docs``; the last returns where every piece of every kept docume
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +15,7 @@ from limnocast.llm.language_id import identify
 from limnocast.llm.packing import pack_documents
 from limnocast.llm.quality import score_quality
 from limnocast.llm.simhash import without_near_duplicates
-from limnocast.session import checkpoint_folder
+from limnocast.session import scratch_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,14 +58,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; each stage's rows are written to the shared folder and read again by the next."""
     docs = table(ready(spark), sf_dir, "documents")
-    folders = []
-    for name, stage in STAGES[:-1]:
-        folders.append(f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}-{name}")
-        stage(spark, docs, sf_dir).write.parquet(folders[-1])
-        docs = spark.read.parquet(folders[-1])
-    packed = STAGES[-1][1](spark, docs, sf_dir)
-    # Packing has written its own copy of all it needs, so the stages' rows can go.
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return packed
+    # The last stage writes its own copy of all it needs, so what the others wrote goes in the end, also after a failure.
+    with scratch_folder(spark, "pipeline") as folder:
+        for name, stage in STAGES[:-1]:
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+            docs = spark.read.parquet(f"{folder}/{name}")
+        return STAGES[-1][1](spark, docs, sf_dir)
