@@ -4,19 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.drivers import _ISSUES, _ROW, FIRST, LAST, _rows, hourly_sql
+from checks.archive import MIXED_SQL
+from checks.drivers import _ISSUES, _ROW, FIRST, LAST, SERIES, _history_sql, _rows, hourly_sql
 from checks.registry import query
 from checks.scoring import _G, _NAMES, _ROUNDED_SQL, GROUP, _rounded, score_sql
-from checks.tables import LAT, LON, MODELS, SITE, archive, forecast_grid, forecasts, met, targets, with_tables
+from checks.profiles import KEYS
+from checks.tables import (
+    HYPSOGRAPHY,
+    LAT,
+    LON,
+    MODELS,
+    SITE,
+    analysis_grid,
+    archive,
+    forecast_grid,
+    forecasts,
+    met,
+    targets,
+    with_tables,
+)
+from limnocast.operators.profiles import per_profile
 from limnocast.plans import drivers as J
 from limnocast.plans.backtest import coverage_at, windows_at
+from limnocast.plans.diagnostics import MIXED, add_diagnostics
 from limnocast.plans.ledger import observation_changes, partitions_to_open, update_scores_by_ledger
-from limnocast.schemas import FORECAST_SCHEMA, SCORE_SCHEMA, TARGET_SCHEMA, conform
+from limnocast.plans.scorekeeping import score_batch
+from limnocast.schemas import FORECAST_SCHEMA, MET_SCHEMA, SCORE_SCHEMA, STAGE2_SCHEMA, STAGE3_PARTITIONS, TARGET_SCHEMA, conform
 from limnocast.session import checkpointed, scratch_folder
-from limnocast.sources.catalogue import listed_dates
+from limnocast.sources.catalogue import archive_partitions, listed_dates
 from limnocast.sources.cubes import Cube, write_cube
-from limnocast.sources.readers import read_member_files, read_or_empty
-from limnocast.sources.writers import write_forecasts, write_partitions, write_targets
+from limnocast.sources.readers import read_dataset, read_forecasts, read_member_files, read_met, read_or_empty, read_targets
+from limnocast.sources.writers import write_batch_scores, write_forecasts, write_partitions, write_targets
 
 _SPLIT = "2024-01-20"
 
@@ -239,3 +257,122 @@ def cube_drivers(spark, d):
         days = [r["day"].isoformat() for r in days.where(F.day("day") % 3 == 0).collect()]
         rows = J.forecast_drivers(Cube(spark, f"{folder}/cube"), SITE, LON, LAT, FIRST, LAST, days=days)
         return checkpointed(_rows(rows, F.date_format("reference_datetime", "yyyy-MM-dd").alias("issue_date")))
+
+
+@query(
+    "stored_targets",
+    with_tables(
+        "targets", body="SELECT * REPLACE (ROUND(observation,6) AS observation) FROM targets WHERE observation IS NOT NULL"
+    ),
+)
+def stored_targets(spark, d):
+    """Observations written as CSV and read back by name."""
+    with scratch_folder(spark, "targets") as folder:
+        write_targets(conform(targets(spark, d), TARGET_SCHEMA), folder)
+        return checkpointed(_local(_rounded(read_targets(spark, folder), "observation"), "datetime"))
+
+
+@query(
+    "stored_batch",
+    with_tables(
+        "joined",
+        extra={"states": "SELECT * FROM joined WHERE variable_type='state'", **score_sql("states")},
+        body=f"""SELECT {_G},'sample' AS family,ROUND(observation,6) AS observation,ROUND(crps,6) AS crps,
+        ROUND(logs,6) AS logs,{_ROUNDED_SQL},
+        ROUND((epoch(datetime)-epoch(reference_datetime))/864e2,6) AS horizon,
+        strftime(reference_datetime,'%Y-%m-%d') AS reference_date FROM scores""",
+    ),
+)
+def stored_batch(spark, d):
+    """Scores of a batch, written by partition and read back."""
+    scored = score_batch(forecasts(spark, d), targets(spark, d))
+    with scratch_folder(spark, "batch") as folder:
+        write_batch_scores(scored, folder)
+        read = read_dataset(spark, folder).withColumn("reference_date", F.date_format("reference_date", "yyyy-MM-dd"))
+        return checkpointed(_rounded(read, "observation", "crps", "logs", "horizon", *_NAMES))
+
+
+@query(
+    "stored_drivers",
+    with_tables(
+        "forecast_grid",
+        extra={**_ISSUES, **hourly_sql("long_rows", LON, LAT, 273.0, "reference_datetime,site_id")},
+        body=f"SELECT strftime(reference_datetime,'%Y-%m-%d') AS issue_date,{_ROW} FROM hourly",
+    ),
+)
+def stored_drivers(spark, d):
+    """A forecast driver archive that gains its dates in two runs."""
+    grid = forecast_grid(spark, d)
+    with scratch_folder(spark, "drivers") as folder:
+        J.update_forecast_archive(spark, folder, grid, SITE, LON, LAT, "2024-01-05", "2024-01-20")
+        J.update_forecast_archive(spark, folder, grid, SITE, LON, LAT, FIRST, LAST)
+        read = read_or_empty(spark, folder, STAGE2_SCHEMA)
+        rows = _rows(read, F.date_format("reference_datetime", "yyyy-MM-dd").alias("issue_date"))
+        return checkpointed(_local(rows, "datetime"))
+
+
+@query(
+    "stored_history",
+    with_tables(
+        "met",
+        "analysis_grid",
+        extra={
+            **_history_sql("2024-01-05", "2024-01-25", 5),
+            "both_sides": """SELECT 0 AS rank,site_id,family,parameter,variable,datetime,prediction FROM met
+              UNION ALL SELECT 1,* FROM history""",
+            "kept": f"""SELECT *,ROW_NUMBER() OVER (PARTITION BY {SERIES},datetime ORDER BY rank DESC) AS n
+              FROM both_sides""",
+        },
+        body=f"SELECT {_ROW} FROM kept WHERE n=1",
+    ),
+)
+def stored_history(spark, d):
+    """A history archive by months that gains the hours it lacks."""
+    with scratch_folder(spark, "history") as folder:
+        path = f"{folder}/met"
+        write_partitions(conform(met(spark, d), MET_SCHEMA), path, archive_partitions(spark, path, STAGE3_PARTITIONS))
+        J.update_history_archive(spark, path, analysis_grid(spark, d), SITE, LON, LAT, "2024-01-05", "2024-01-25", 5)
+        return checkpointed(_local(_rows(read_met(spark, path)), "datetime"))
+
+
+@query(
+    "stored_diagnostics",
+    with_tables(
+        "fc_profile",
+        extra=MIXED_SQL,
+        body=f"""SELECT model_id,reference_datetime,datetime,'{MIXED}' AS variable,'prob' AS parameter,ROUND(prediction,6) AS prediction
+        FROM mixing WHERE model_id='model_a' AND strftime(reference_datetime,'%Y-%m-%d')='2024-01-08'""",
+    ),
+)
+def stored_diagnostics(spark, d):
+    """Diagnostics added, twice, to one partition of a stored archive."""
+    issued = conform(archive(spark, d).withColumn("forecast", F.lit(None).cast("double")), FORECAST_SCHEMA)
+    with scratch_folder(spark, "diagnostics") as folder:
+        write_forecasts(issued, folder)
+        for _ in range(2):
+            add_diagnostics(spark, folder, SITE, "model_a", "2024-01-08", HYPSOGRAPHY)
+        rows = read_forecasts(spark, folder).where(F.col("variable") == MIXED)
+        names = ["model_id", "reference_datetime", "datetime", "variable", "parameter"]
+        out = rows.select(*names, F.round("prediction", 6).alias("prediction"))
+        return checkpointed(_local(out, "reference_datetime", "datetime"))
+
+
+@query(
+    "per_profile",
+    with_tables(
+        "fc_profile",
+        body="""SELECT model_id,reference_datetime,datetime,parameter,CAST(COUNT(*) AS BIGINT) AS depths,
+        ROUND(MAX(prediction)-MIN(prediction),6) AS spread FROM fc_profile GROUP BY ALL""",
+    ),
+)
+def spread_per_profile(spark, d):
+    """A caller's own function of each profile."""
+    kinds = dict(forecasts(spark, d).dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in KEYS) + ", depths long, spread double"
+
+    def spread(profile):
+        first = profile.iloc[:1][KEYS].copy()
+        first["depths"], first["spread"] = len(profile), profile["temperature"].max() - profile["temperature"].min()
+        return first
+
+    return _rounded(per_profile(forecasts(spark, d), spread, schema, KEYS), "spread")

@@ -20,23 +20,17 @@ PROFILE_KEY = [
     "pub_datetime",
 ]
 METRICS = ["Ws", "M1", "M2", "eta", "m_ratio", "z_therm", "z_n2", "n2_max", "b_var"]
-# Depth levels that still make one aggregate.
-MAX_LEVELS = 64
 # Stands for the points of a profile that are no peak.
 NO_PEAK = -1
 # Below this a spread of density counts as none, and ratios to it are null.
 FLAT = 1e-9
 
 
-def gather_profiles(
-    forecasts: DataFrame, keys: Sequence[str] | None = None, max_levels: int = MAX_LEVELS
-) -> DataFrame:
+def gather_profiles(forecasts: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """One row per member and time with its (depth, temperature) points in depth order.
 
-    Copies and repeated depths are averaged. A model has few depths, so they are listed
-    first from the depth column alone, and each becomes one average of the aggregate: a
-    profile collapses to one row before the only shuffle, and copies with it. With more
-    than ``max_levels`` depths, rows are averaged per depth and then collected.
+    Copies and repeated depths are averaged before they travel, whatever depths there are; a profile then gathers
+    one point for each of its depths, of which a model has a few.
     """
     keys = list(keys or existing(forecasts, PROFILE_KEY))
     rows = forecasts.where(
@@ -44,28 +38,10 @@ def gather_profiles(
         & F.col("depth").isNotNull()
         & F.col("prediction").isNotNull()
     )
-    listed = rows.select("depth").distinct().limit(max_levels + 1).collect()
-    if len(listed) > max_levels:
-        points = rows.groupBy(*keys, "depth").agg(F.avg("prediction").alias("temperature"))
-        return points.groupBy(*keys).agg(
-            F.sort_array(F.collect_list(F.struct("depth", "temperature"))).alias("points")
-        )
-    levels = sorted(r["depth"] for r in listed)
-    if not levels:
-        return rows.select(*keys, F.array(F.struct("depth", F.lit(0.0).alias("temperature"))).alias("points"))
-    wide = rows.groupBy(*keys).agg(
-        *[
-            F.avg(F.when(F.col("depth") == at, F.col("prediction"))).alias(f"_level{n}")
-            for n, at in enumerate(levels)
-        ]
-    )
-    points = F.array(
-        *[
-            F.struct(F.lit(at).alias("depth"), F.col(f"_level{n}").alias("temperature"))
-            for n, at in enumerate(levels)
-        ]
+    points = rows.groupBy(*keys, "depth").agg(F.avg("prediction").alias("temperature"))
+    return points.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("depth", "temperature"))).alias("points")
     )
-    return wide.select(*keys, F.filter(points, lambda x: x["temperature"].isNotNull()).alias("points"))
 
 
 def resample_profiles(profiles: DataFrame, hypsography: P.Hypsography, dz: float = 0.1) -> DataFrame:

@@ -171,17 +171,31 @@ def test_layer_depth_without_neighbours_is_the_middle(spark):
     assert row[0] == pytest.approx(0.05)
 
 
-@pytest.mark.parametrize("max_levels", [64, 1])
-def test_copies_and_repeated_depths_are_averaged(spark, max_levels):
+def test_copies_and_repeated_depths_are_averaged(spark):
     points = [(0.0, 10.0), (0.0, 10.0), (0.0, 13.0), (6.0, 5.0)]
     rows = profile_rows(spark, [points, [(3.0, 4.0)]])
     held = {
         r["parameter"]: [tuple(p) for p in r["points"]]
-        for r in gather_profiles(rows, max_levels=max_levels).collect()
+        for r in gather_profiles(rows).collect()
     }
     assert held == {"0": [(0.0, 11.0), (6.0, 5.0)], "1": [(3.0, 4.0)]}
 
 
+def test_a_profile_of_many_depths_is_gathered_like_any(spark):
+    points = [(k / 10, 20.0 - k / 20) for k in range(100)]
+    held = gather_profiles(profile_rows(spark, [points])).first()["points"]
+    assert [tuple(p) for p in held] == points
+
+
+def test_grid_rows_are_not_gathered(spark):
+    fc = profile_rows(spark, [[(0.0, 10.0), (6.0, 5.0)]])
+    text = profile_metrics(fc, LAKE)._jdf.queryExecution().executedPlan().toString()
+    # Objects are gathered per profile twice: its points, and its few peaks after the sums over the grid.
+    lines = text.splitlines()
+    peaks = next(i for i, x in enumerate(lines) if "ObjectHashAggregate" in x and "collect_list" in x and "peak" in x)
+    assert any("HashAggregate" in x and "ObjectHash" not in x and "peak" in x for x in lines[peaks + 1 :])
+
+
 def test_no_temperature_gives_no_profiles(spark):
     fc = profile_rows(spark, [[(0.0, 1.0)]]).where("variable = 'oxygen'")
     assert gather_profiles(fc).count() == 0
