@@ -45,12 +45,12 @@ def pieces(
     names = ["id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens_of(tokenizer).ids
+        encode = tokens_of(tokenizer).ids_of
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
             rows: list[tuple] = []
-            for key, text in zip(batch["id"].to_pylist(), batch["body"], strict=True):
-                ids = encode(text.as_py()) + end
+            for key, ids in zip(batch["id"].to_pylist(), encode(batch["body"].to_pylist()), strict=True):
+                ids += end
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     row = (key, n, at // 4, len(part) // 4, zlib.crc32(part))

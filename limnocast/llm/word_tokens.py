@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -14,8 +14,8 @@ _PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 #: The file's own split over those characters, after lower-casing. Fixed values.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 _SPACES = re.compile(r"[\t\n\r ]+")
-#: Words held with their ids, and characters worked on at a time.
-CACHE_WORDS, BLOCK_CHARS = 300_000, 1 << 20
+#: Words held in a generation, and characters worked on at a time.
+CACHE_WORDS, BLOCK_CHARS = 200_000, 1 << 20
 
 
 #: The file's normalising and splitting steps that the patterns above stand for. Fixed values.
@@ -54,7 +54,9 @@ class WordTokens:
         self._added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in file["added_tokens"]}
         longest_first = sorted(self._added, key=lambda t: (-len(t), t))
         self._parts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
+        #: Ids of words of this generation and of the one before.
         self._held: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         """Hold the ids of new words: plain ones are encoded as one text, which falls apart at its spaces."""
@@ -94,28 +96,61 @@ class WordTokens:
         return out
 
     def ids(self, text: str | None) -> bytes:
-        text = text or ""
+        return next(self.ids_of([text]))
+
+    def ids_of(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of each text. Every text is split once, and the new words of about a megabyte of texts are learned at once."""
+        out: list[bytes] = []
+        for last, words in self._held_blocks(texts):
+            if isinstance(words, bytes):
+                out.append(words)
+            else:
+                held = self._held
+                out.append(b"".join([held[w] for w in words]))
+            if last:
+                yield b"".join(out)
+                out = []
+
+    def _split(self, text: str) -> Iterator[list[str] | bytes]:
+        """Words of the blocks of a text, and ids where they are known without: of added tokens, or from the library."""
         if not self._by_words:
-            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if self._parts is None or not any(t in text for t in self._added):
-            return self._stretch(text)
-        return b"".join([self._added.get(part) or self._stretch(part) for part in self._parts.split(text)])
-
-    def _stretch(self, text: str) -> bytes:
-        """Ids of a stretch without added tokens."""
-        out = []
-        held = self._held
-        for block in self._blocks(text):
-            words = self._words(block)
-            distinct = set(words)
-            new = list(distinct.difference(held))
-            if len(held) + len(new) > CACHE_WORDS:
-                held.clear()
-                new = list(distinct)
-            for begin in range(0, len(new), 10_000):
-                self._learn(new[begin : begin + 10_000])
-            out.append(b"".join([held[w] for w in words]))
-        return b"".join(out)
+            yield np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        elif self._parts is None or not any(t in text for t in self._added):
+            yield from map(self._words, self._blocks(text))
+        else:
+            for part in self._parts.split(text):
+                if part in self._added:
+                    yield self._added[part]
+                else:
+                    yield from map(self._words, self._blocks(part))
+
+    def _held_blocks(self, texts: Iterable[str | None]) -> Iterator[tuple[bool, list[str] | bytes]]:
+        """What every text splits into, all words held, and whether it is the last of its text."""
+        waiting: list[tuple[bool, list[str] | bytes]] = []
+        size = 0
+        for text in texts:
+            waiting += [(False, part) for part in self._split(text or "")]
+            waiting.append((True, b""))
+            size += len(text or "")
+            if size >= BLOCK_CHARS:
+                self._hold(set().union(*(part for _, part in waiting if not isinstance(part, bytes))))
+                yield from waiting
+                waiting, size = [], 0
+        self._hold(set().union(*(part for _, part in waiting if not isinstance(part, bytes))))
+        yield from waiting
+
+    def _hold(self, words: set[str]) -> None:
+        """See that the ids of all ``words`` are held. Those not used since the last but one generation are forgotten."""
+        if len(self._held) > CACHE_WORDS:
+            self._older, self._held = self._held, {}
+        new = []
+        for word in words.difference(self._held):
+            if word in self._older:
+                self._held[word] = self._older[word]
+            else:
+                new.append(word)
+        for begin in range(0, len(new), 10_000):
+            self._learn(new[begin : begin + 10_000])
 
 
 _loaded: dict[str, WordTokens] = {}
