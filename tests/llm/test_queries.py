@@ -18,7 +18,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="tables are not
 
 def test_every_operator_is_registered():
     queries = __spark_entry__.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(queries)
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
