@@ -49,6 +49,9 @@ class WordTokens:
 
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
+        # Words hold no added token, so for them the library need not look for any.
+        self._of_words = Tokenizer.from_file(path)
+        self._of_words.encode_special_tokens = True
         file = json.loads(self._tokenizer.to_str())
         self._by_words = _splits_as_above(file)
         self._added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in file["added_tokens"]}
@@ -61,7 +64,7 @@ class WordTokens:
     def _learn(self, words: list[str]) -> None:
         """Hold the ids of new words: plain ones are encoded as one text, which falls apart at its spaces."""
         plain = [w for w in words if _PLAIN.fullmatch(w)]
-        found = self._tokenizer.encode(" ".join(plain), add_special_tokens=False)
+        found = self._of_words.encode(" ".join(plain), add_special_tokens=False)
         ids, numbers = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
         ends = np.flatnonzero(np.diff(numbers, append=-1)) + 1
         if len(ends) != len(plain):
@@ -71,7 +74,7 @@ class WordTokens:
         for word, start, end in zip(plain, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
             self._held[word] = run[start:end]
         rest = [w for w in words if w not in self._held]
-        for word, one in zip(rest, self._tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+        for word, one in zip(rest, self._of_words.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self._held[word] = np.array(one.ids, "<u4").tobytes()
 
     def _blocks(self, text: str) -> Iterator[str]:
