@@ -370,9 +370,8 @@ def spread_per_profile(spark, d):
     kinds = dict(forecasts(spark, d).dtypes)
     schema = ", ".join(f"{k} {kinds[k]}" for k in KEYS) + ", depths long, spread double"
 
-    def spread(profile):
-        first = profile.iloc[:1][KEYS].copy()
-        first["depths"], first["spread"] = len(profile), profile["temperature"].max() - profile["temperature"].min()
-        return first
+    def spread(key, profile):
+        t = profile["temperature"]
+        return *key, len(profile), t.max() - t.min()
 
     return _rounded(per_profile(forecasts(spark, d), spread, schema, KEYS), "spread")

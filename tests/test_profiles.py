@@ -229,3 +229,45 @@ def test_caller_supplied_metric(spark):
 
     got = {r["parameter"]: r["spread"] for r in per_profile(fc, spread, "parameter string, spread double").collect()}
     assert got == {"0": pytest.approx(12.0), "1": 0.0}
+
+
+def test_a_caller_function_may_take_the_key_and_give_a_row(spark):
+    members = [SHAPES["linear"], [(0.0, 5.0), (6.0, 5.0)], [(k / 10, 20.0 - k / 20) for k in range(100)]] * 3
+    big = 2**60 + 1
+    fc = (
+        profile_rows(spark, members)
+        .withColumn("run", F.when(F.col("parameter") != "1", F.col("parameter").cast("long") + big))
+        .withColumn("odd", F.when(F.col("parameter") != "2", F.col("parameter").cast("int") % 2 == 1))
+    )
+    keys = ["datetime", "parameter", "run", "odd"]
+    schema = "datetime timestamp, parameter string, run long, odd boolean, depths long, spread double"
+
+    def row(key, profile):
+        assert list(profile.index) == list(range(len(profile))) and list(profile.columns) == [*keys, "depth", "temperature"]
+        values = tuple(None if v is None or v != v else v for v in key)
+        return *values, len(profile), profile.temperature.max() - profile.temperature.min()
+
+    def frame(profile):
+        profile["spread"] = profile.temperature.max() - profile.temperature.min()
+        return profile[[*keys, "spread"]][:1].assign(depths=len(profile))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 7)
+    try:
+        got = [per_profile(fc, f, schema, keys) for f in (row, frame)]
+        assert all("FlatMapGroupsInPandas" not in plan(df) for df in got)
+        rows, frames = [sorted(map(tuple, df.collect()), key=str) for df in got]
+    finally:
+        spark.conf.set(size, before)
+    want = [
+        (T0, str(n), None if n == 1 else n + big, None if n == 2 else n % 2 == 1, len(p))
+        for n, p in enumerate(members)
+    ]
+    assert [r[:5] for r in rows] == sorted(want, key=str)
+    assert rows == frames
+    with pytest.raises(Exception, match="columns"):
+        per_profile(fc, lambda profile: profile[["depth"]], schema, keys).collect()
