@@ -8,7 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from limnocast.session import checkpointed
+
 DEPTH_KEYS = ["_depth_value", "_depth_missing"]
+BROADCAST_ROWS = 100_000
 
 
 def with_depth_keys(df: DataFrame) -> DataFrame:
@@ -56,9 +59,22 @@ def distinct_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{k}`") for k in keys]).distinct()
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """Ask for a broadcast after counting that ``df`` is small; else leave joins to AQE.
+
+    ``df`` is a written table, so the count costs nothing to speak of.
+    """
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def restrict_to(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose keys are listed in ``groups``."""
-    return join_null_safe(df, distinct_by(groups, keys), keys, "left_semi")
+    """Rows of ``df`` whose keys are listed in ``groups``.
+
+    The list is written out and counted. A short one is broadcast, for then a group may hold most of the rows, which
+    a shuffle by its keys would bring to one task.
+    """
+    listed = sized(checkpointed(distinct_by(groups, keys)))
+    return join_null_safe(df, listed, keys, "left_semi")
 
 
 def keep_latest(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

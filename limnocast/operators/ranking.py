@@ -1,4 +1,4 @@
-"""Ranking inside groups too large for one task, and broadcasts of counted tables."""
+"""Ranking inside groups too large for one task."""
 
 from __future__ import annotations
 
@@ -7,22 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from limnocast.operators.joins import join_null_safe
+from limnocast.operators.joins import BROADCAST_ROWS, join_null_safe, sized  # noqa: F401
 from limnocast.session import checkpointed
 
 HOT_ROWS = 200_000
-BROADCAST_ROWS = 100_000
 BINS = 512
 
 
-def sized(df: DataFrame) -> DataFrame:
-    """Ask for a broadcast after counting that ``df`` is small; else leave joins to AQE.
-
-    ``df`` is a written table, so the count costs nothing to speak of.
-    """
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def ranked_values(df: DataFrame, keys: Sequence[str], value: str, bins: int = BINS) -> DataFrame:
     """Distinct values per group with copies, rank of the last copy, and group size.
 

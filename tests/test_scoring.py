@@ -263,3 +263,26 @@ def test_grouping_uses_the_columns_that_exist(case):
     published = fc.withColumn("pub_datetime", F.lit(stamp(1)))
     assert "pub_datetime" in score_forecasts(published, obs).columns
     assert "pub_datetime" not in score_forecasts(fc, obs).columns
+
+
+def test_a_short_list_of_groups_moves_no_row(spark, monkeypatch):
+    """One group may hold most rows; by a shuffle on its keys they would meet in one task."""
+    from limnocast.operators import joins
+
+    rows = spark.createDataFrame(
+        [("a", i) for i in range(50)] + [(None, 50), ("b", 51), ("c", 52)], "model_id string, n int"
+    )
+    groups = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "model_id string")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        kept = joins.restrict_to(rows, groups, ["model_id"])
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        short = sorted(r["n"] for r in kept.collect())
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+        long = sorted(r["n"] for r in joins.restrict_to(rows, groups, ["model_id"]).collect())
+    finally:
+        spark.conf.set(threshold, before)
+    assert short == long == list(range(51))
