@@ -598,17 +598,21 @@ def string_parts(spark, d):
     )
     name = base_name(F.col("path"))
     stem = strip(name, "met_", ".csv")
+    # A path stands on many rows; they are counted first, so each path is taken apart once.
     return (
         rows.select("model_id", path.alias("path"))
+        .groupBy("model_id", "path")
+        .agg(F.count(F.lit(1)).alias("rows"))
         .select(
             path_value(F.col("path"), "reference_datetime").alias("issue_date"),
             "model_id",
             name.alias("file"),
             F.regexp_extract(stem, "([^_]*)$", 1).alias("member"),
             split_part(stem, "_", 2).alias("last_part"),
+            "rows",
         )
         .groupBy("issue_date", "model_id", "file", "member", "last_part")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("rows").alias("n"))
     )
 
 

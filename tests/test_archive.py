@@ -1,4 +1,5 @@
 import os
+import re
 from datetime import datetime
 
 import pytest
@@ -271,3 +272,26 @@ def test_backtest_coverage_equals_a_range_test(spark):
         start = datetime.combine(w["end_date"], datetime.min.time())
         n = sum(0 <= (t - start).total_seconds() <= w["horizon"] * 86400 for t in times)
         assert got[(w["model"], w["simulation"])] == n
+
+
+def test_each_path_is_taken_apart_once(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    rows = [(i, datetime(2024, 1, 1 + i % 9, i % 24), i % 5, "click" if i % 3 else "view", float(i)) for i in range(90)]
+    rows += [(90, datetime(2024, 1, 2), None, "click", 1.0), (None, None, 3, "click", 2.0)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    df = queries()["string_parts"](spark, str(tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[model_id#\d+, path#\d+\], \[[^\n]*regexp_extract\(path", plan)
+    members = {}
+    for e, ts, user, kind, _ in rows:
+        if kind != "view":
+            model = "model_a" if e is not None and e % 2 == 0 else "model_b"
+            week = None if ts is None else datetime(2024, 1, 1 if ts.day < 8 else 8).strftime("%Y-%m-%d")
+            known = None not in (week, user)
+            key = (week if known else None, model, user if known else None)
+            members.setdefault(key, set()).add((week, ts, user))
+    got = {(r["issue_date"], r["model_id"], None if r["member"] is None else int(r["member"])): r["n"] for r in df.collect()}
+    assert got == {k: 14 * len(v) for k, v in members.items()}
+    assert all(r["last_part"] == r["model_id"][-1] for r in df.collect() if r["member"] is not None)
