@@ -32,7 +32,7 @@ def _ship(spark: SparkSession) -> None:
 
 def ready(spark: SparkSession) -> SparkSession:
     """The session as the operators want it: AQE, small Arrow batches (texts can be long), their code shipped."""
-    prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    prepare(spark, finer=False).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     _ship(spark)
     return spark
 

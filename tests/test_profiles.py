@@ -271,3 +271,18 @@ def test_a_caller_function_may_take_the_key_and_give_a_row(spark):
     assert rows == frames
     with pytest.raises(Exception, match="columns"):
         per_profile(fc, lambda profile: profile[["depth"]], schema, keys).collect()
+
+
+def test_tasks_hold_few_profiles_however_many_there_are(spark):
+    """Peak memory of a task follows its profiles, not the bytes shuffled to it."""
+    n = F.col("id")
+    fc = spark.range(60_000).select(
+        F.lit("m").alias("model_id"),
+        F.sha2(n.cast("string"), 256).alias("parameter"),
+        F.lit("temperature").alias("variable"),
+        F.lit(1.0).alias("depth"),
+        (n % 20).cast("double").alias("prediction"),
+    )
+    parts = gather_profiles(fc).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(parts) == 60_000
+    assert len(parts) > 16 and max(parts) < 6_000
